@@ -51,7 +51,7 @@ def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text",
     lines = _lines(F.col(text))
     drop = F.coalesce(F.col("__drop"), F.array().cast("array<bigint>"))
     stays = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(drop, F.xxhash64(F.trim(x))))
-    joined = kept.join(per_site, F.col(site).eqNullSafe(F.col("__site")), "left").withColumn("__stays", stays)
+    joined = kept.alias("d").join(per_site, F.col(site).eqNullSafe(F.col("__site")), "left").withColumn("__stays", stays)
     return joined.select(
         *[F.array_join("__stays", "\n").alias(text) if c == text else F.col(f"`{c}`") for c in kept.columns],
         F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
@@ -59,6 +59,14 @@ def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text",
     )
 
 
+def without_boilerplate(docs: DataFrame, site: str = "source", text: str = "text", chars: str = "n_chars") -> DataFrame:
+    """docs with the same columns: boilerplate lines are gone from `text`, and `chars` is its new length in code points."""
+    counted = [c for c in ("n_lines", "n_dropped") if c in docs.columns]
+    safe = docs.withColumnsRenamed({c: f"__{c}" for c in counted})
+    out = drop_boilerplate(safe, site, text).drop("n_lines", "n_dropped").withColumnsRenamed({f"__{c}": c for c in counted})
+    return out.withColumn(chars, F.length(text).cast("bigint")) if chars in docs.columns else out
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_lines", "n_dropped", "text")
 

@@ -155,6 +155,20 @@ def score(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -
     return rows.mapInArrow(lambda it: _scored(it, level), f"{carried}score double")
 
 
+def _kept(batches: Iterator[pa.RecordBatch], level, at: int, threshold: float) -> Iterator[pa.RecordBatch]:
+    model, hashes = level.value, _Hashes()
+    for batch in batches:
+        yield batch.filter(pa.array([model.probability(indicators(t or "", hashes)) >= threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+
+
+def keep_good(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, whose score reaches the threshold."""
+    ship(docs.sparkSession)
+    level = docs.sparkSession.sparkContext.broadcast(model)  # 8 MiB
+    at = docs.columns.index(text)
+    return docs.mapInArrow(lambda it: _kept(it, level, at, threshold), docs.schema)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(sample(docs, labels, "quality"))
 

@@ -165,6 +165,19 @@ def score(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -
     return rows.mapInArrow(lambda it: _scored(it, model, schema), f"{carried}, {added}" if carry else added)
 
 
+def _kept(batches: Iterator[pa.RecordBatch], model: Model, at: int, threshold: float) -> Iterator[pa.RecordBatch]:
+    weights = _Weights(model)
+    for batch in batches:
+        yield batch.filter(pa.array([noisy_or(sentence_logits(t or "", weights, model.bias)) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+
+
+def reject_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is below the threshold."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text)
+    return docs.mapInArrow(lambda it: _kept(it, model, at, threshold), docs.schema)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(sample(docs, labels, "toxic"))
 
