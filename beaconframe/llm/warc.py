@@ -24,7 +24,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconframe.session import scratch, ship, table
+from beaconframe.session import cut, scratch, ship, table
 
 #: Payloads of fewer bytes are always written whole.
 LEAST_REVISIT = 1000
@@ -137,6 +137,7 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     rows = pages.select(F.col(key).alias("id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
     large = rows.where(F.col("id").isNotNull() & (F.octet_length("html") >= LEAST_REVISIT)).select("id", F.sha1("html").alias("digest"))
     groups = large.groupBy("digest").agg(F.max("id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    groups = cut(groups)  # with a shuffle of its own below the join, a hot digest can be split there
     marks = large.join(groups, "digest").where(F.col("id") != F.col("refers_to")).select("id", F.lit(0).alias("mark"), "digest", "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
     whole = rows.select("id", F.lit(1).alias("mark"), F.lit(None).cast("string").alias("digest"), F.lit(None).cast(rows.schema["id"].dataType).alias("refers_to"), "url", "html")
     placed = whole.unionByName(marks).repartitionByRange("id").sortWithinPartitions("id", "mark", "url")
