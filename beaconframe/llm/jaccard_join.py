@@ -7,8 +7,8 @@ sets that share tokens tend to share paths. Nodes of one set end; nodes of at mo
 sets are compared by brute force; larger ones are split again, DEPTH times at most. RUNS
 independent trees give the target recall for pairs at the threshold.
 
-Within small leaves, sets whose minimum hashes agree well are linked by a spanning forest;
-a large leaf at full depth is linked to its least member. Connected links make groups,
+A node that keeps most of its parent's sets holds sets alike and ends too. Within small leaves, sets whose minimum hashes agree well are linked by a spanning forest;
+a large leaf is linked to its least member. Connected links make groups,
 and every pair within a group is then compared exactly on the whole sets, in blocks of
 BLOCK sets, so a large group is shared by many tasks and only counts leave them.
 """
@@ -30,6 +30,8 @@ from beaconframe.session import cut, ship, table
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.9999
 SKETCH, LEAF, DEPTH, BLOCK = 64, 32, 4, 256
+#: A node with this share of its parent's sets holds sets alike: it is a leaf, as more splitting would not divide it.
+DENSE = 0.6
 #: Sets whose sketches agree in this much less than the similarity are still linked: four standard errors.
 SLACK = 4 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / SKETCH)
 _TOKEN = re.compile(r"\w+")
@@ -109,21 +111,21 @@ def _children(node: Column, sketch_: Column, similarity: float) -> Column:
 
 
 def _leaves(classes: DataFrame, runs: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """leaf, rid of small leaves (2 to LEAF sets), and of large ones at full depth."""
-    spark = classes.sparkSession
+    """leaf, rid of small leaves (2 to LEAF sets), and of large ones at full depth or that splitting hardly divides."""
     roots = F.array(*[F.xxhash64(F.lit(r), F.lit("root")) for r in range(runs)])
-    nodes = classes.select("rid", "sketch", F.explode(roots).alias("parent")).select("rid", _children(F.col("parent"), F.col("sketch"), similarity).alias("node"))
-    small = None
+    nodes = classes.select("rid", "sketch", F.explode(roots).alias("parent")).select("rid", F.lit(None).cast("bigint").alias("above"), _children(F.col("parent"), F.col("sketch"), similarity).alias("node"))
+    small = large = None
     for depth in range(1, DEPTH + 1):
-        nodes = nodes.distinct() if depth > 1 else nodes
         sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         level = cut(nodes.join(sizes, "node"))
+        dense = F.lit(depth == DEPTH) | F.coalesce(F.col("size") >= DENSE * F.col("above"), F.lit(False))
         part = level.where(F.col("size") <= LEAF).select(F.col("node").alias("leaf"), "rid")
-        small = part if small is None else small.unionByName(part)
-        large = level.where(F.col("size") > LEAF)
+        ended = level.where((F.col("size") > LEAF) & dense).select(F.col("node").alias("leaf"), "rid")
+        small, large = (part, ended) if small is None else (small.unionByName(part), large.unionByName(ended))
         if depth < DEPTH:
-            nodes = large.join(classes.select("rid", "sketch"), "rid").select("rid", _children(F.col("node"), F.col("sketch"), similarity).alias("node"))
-    return small, large.select(F.col("node").alias("leaf"), "rid")
+            again = level.where((F.col("size") > LEAF) & ~dense).join(classes.select("rid", "sketch"), "rid")
+            nodes = again.select("rid", F.col("size").alias("above"), _children(F.col("node"), F.col("sketch"), similarity).alias("node"))
+    return small, large
 
 
 def _forest(pairs: Iterator[tuple[int, int]], n: int) -> list[int]:
