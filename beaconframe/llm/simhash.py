@@ -132,10 +132,10 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     heads = (
         base.alias("b")
         .join(order.alias("o"), F.col("b.doc_id").eqNullSafe(F.col("o.next_id")) & (F.col("b.h") == F.col("o.next_h")))
-        .select("o.doc_id", "o.h", F.substring(F.col("b.body"), F.lit(1), quarter).alias("head"))
+        .select("o.doc_id", "o.h", (F.col("o.n").cast("int") - quarter).alias("stay"), F.substring(F.col("b.body"), F.lit(1), quarter).alias("head"))
     )
     both = base.alias("b").join(heads.alias("e"), mine("b", "e")).select(
-        "b.doc_id", "b.h", F.col("body"), F.concat(F.substring(F.col("body"), F.lit(1), (F.col("b.n") - F.floor(F.col("b.n") / 4)).cast("int")), F.col("head")).alias("edited")
+        "b.doc_id", "b.h", F.col("body"), F.concat(F.substring(F.col("body"), F.lit(1), F.col("stay")), F.col("head")).alias("edited")
     )
     stacked = both.select("doc_id", "h", F.explode(F.array(F.struct(F.lit(0).alias("w"), F.col("body").alias("t")), F.struct(F.lit(1).alias("w"), F.col("edited").alias("t")))).alias("x"))
     whole = stacked.select("doc_id", "h", "x.w", F.when(F.col("x.w") == 1, F.sha2("x.t", 256)).alias("sha"), F.col("x.t").alias("t"))
