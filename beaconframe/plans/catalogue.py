@@ -2,5 +2,309 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+from beaconframe.functions import columns as C
+from beaconframe.operators import core as O
+from beaconframe.session import table
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+KINDS = ["click", "login", "logout", "purchase", "view"]
+
+
+def _us():
+    return F.unix_micros(F.col("ts").cast("timestamp"))
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: table(spark, sf_dir, name))
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+@query(f"""WITH e AS (SELECT *, date_trunc('hour', ts) AS bucket, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts)) / 1000.0 AS gap FROM events)
+SELECT user_id, CAST(bucket AS TIMESTAMP) AS bucket, count(*) AS packet_count, round(sum(value), 4) AS bytes_sum, round(avg(value), 4) AS bytes_mean, round(coalesce(avg(gap), 0.0), 4) AS mean_gap_ms, count(DISTINCT event_type) AS kinds,
+{', '.join(f"count(*) FILTER (WHERE event_type = '{k}') AS {k}_count" for k in KINDS)} FROM e GROUP BY user_id, bucket""")
+def flow_aggregate(t):
+    return O.flow_aggregate(t("events"), "user_id", "ts", "value", "event_type", KINDS)
+
+
+@query("SELECT event_id, user_id, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)) / 1000.0 AS gap_ms FROM events")
+def inter_arrival(t):
+    return t("events").select("event_id", "user_id", ((_us() - F.lag(_us()).over(W.partitionBy("user_id").orderBy("ts", "event_id"))) / 1000).alias("gap_ms"))
+
+
+@query("""WITH c AS (SELECT p_partkey, unnest(string_split(p_name, '')) AS ch, length(p_name) AS n FROM part WHERE p_name <> ''), s AS (SELECT p_partkey, ch, count(*) / any_value(n) AS p FROM c GROUP BY p_partkey, ch)
+SELECT p_partkey, round(sum(-p * log2(p)), 6) AS entropy FROM s GROUP BY p_partkey""")
+def entropy_chars(t):
+    return t("part").where("p_name <> ''").select("p_partkey", F.round(C.shannon_entropy(F.col("p_name")), 6).alias("entropy"))
+
+
+@query("""WITH h AS (SELECT page_id, lower(trim(regexp_extract(url, '^https?://([^/?#]+)', 1))) AS d FROM pages), c AS (SELECT page_id, unnest(string_split(d, '')) AS ch, length(d) AS n FROM h WHERE d <> ''), s AS (SELECT page_id, ch, count(*) / any_value(n) AS p FROM c GROUP BY page_id, ch), e AS (SELECT page_id, sum(-p * log2(p)) AS entropy FROM s GROUP BY page_id)
+SELECT page_id, d AS domain, CAST(length(d) AS BIGINT) AS length, round(length(regexp_replace(d, '[^0-9]', '', 'g')) / length(d), 6) AS numeric_ratio, CAST(greatest(len(list_filter(string_split(d, '.'), lambda x: x <> '')) - 2, 0) AS BIGINT) AS depth, round(entropy, 6) AS entropy, CAST(length(d) - length(replace(d, '-', '')) AS BIGINT) AS hyphens FROM h JOIN e USING (page_id)""")
+def domain_features(t):
+    d = t("pages").select("page_id", C.clean_domain(F.regexp_extract("url", "^https?://([^/?#]+)", 1)).alias("domain")).where("domain <> ''")
+    return d.select("page_id", "domain", *[F.round(c, 6).alias(k) if k in ("numeric_ratio", "entropy") else c.alias(k) for k, c in C.domain_features(F.col("domain")).items()])
+
+
+@query("SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust, o_orderstatus AS status, o_orderpriority AS prio FROM orders")
+def kv_extract(t):
+    m = C.key_values(F.concat_ws("", F.lit("cust="), F.col("o_custkey").cast("string"), F.lit(" status="), "o_orderstatus", F.lit(" prio="), "o_orderpriority"))
+    return t("orders").select("o_orderkey", m.alias("m")).select("o_orderkey", *[F.col("m")[k].alias(k) for k in ("cust", "status", "prio")])
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_field_extract(t):
+    return t("events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+
+
+@query("SELECT event_id, ts AS from_s, ts AS from_ms, ts AS from_us FROM (SELECT event_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts FROM events)")
+def epoch_unit_coerce(t):
+    e = t("events").select("event_id", F.floor(_us() / 1_000_000).cast("bigint").alias("s"))
+    e = e.select("event_id", "s", (F.col("s") * 1000).alias("ms"), (F.col("s") * 1_000_000).alias("us"))
+    top = e.agg(*[C.epoch_divisor(F.max(F.abs(c))).alias(f"d_{c}") for c in ("s", "ms", "us")])  # one row
+    return e.crossJoin(F.broadcast(top)).select("event_id", *[F.timestamp_seconds((F.col(c) / F.col(f"d_{c}")).cast("bigint")).cast("timestamp_ntz").alias(f"from_{c}") for c in ("s", "ms", "us")])
+
+
+@query("""SELECT count(*) AS n_rows, count(k) AS non_null, count(TRY_CAST(k AS DOUBLE)) AS numeric_values, count(k) - count(TRY_CAST(k AS DOUBLE)) AS invalid_values, count(TRY_CAST(k AS DOUBLE)) >= greatest(1, CAST(floor(0.6 * count(*)) AS BIGINT)) AS is_numeric FROM (SELECT json_extract_string(props, '$.k') AS k FROM events UNION ALL SELECT p_type FROM part)""")
+def numeric_coercion_profile(t):
+    k = t("events").select(F.get_json_object("props", "$.k").alias("k")).unionAll(t("part").select("p_type"))
+    n = F.count(F.try_cast(F.col("k"), "double")) if hasattr(F, "try_cast") else F.count(F.expr("try_cast(k as double)"))
+    return k.agg(F.count(F.lit(1)).alias("n_rows"), F.count("k").alias("non_null"), n.alias("numeric_values"), (F.count("k") - n).alias("invalid_values"), (n >= F.greatest(F.lit(1), F.floor(0.6 * F.count(F.lit(1))))).alias("is_numeric"))
+
+
+@query("SELECT event_type, CASE WHEN lower(event_type) LIKE '%benign%' THEN 0 ELSE 1 END AS label, count(*) AS n FROM events GROUP BY event_type")
+def label_from_name(t):
+    return t("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select("event_type", C.label_from_name(F.col("event_type")).alias("label"), "n")
+
+
+@query("SELECT event_id, last_value(CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id END IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS entity FROM events")
+def entity_fallback_fill(t):
+    return t("events").select("event_id", O.forward_fill(F.when(F.col("event_id") % 3 != 0, F.col("user_id")), ["event_type"], ["ts", "event_id"]).alias("entity"))
+
+
+@query("SELECT count(*) AS n_rows, CAST(sum((text IS NULL)::INT + (quality IS NULL)::INT + (toxic IS NULL)::INT) AS BIGINT) AS missing_values FROM (SELECT d.text, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))")
+def missing_cell_profile(t):
+    return O.missing_cells(t("documents").join(t("labels"), "doc_id", "left").select("text", "quality", "toxic"))
+
+
+@query("SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n) - count(*) AS BIGINT) AS duplicate_rows FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)")
+def duplicate_profile(t):
+    return O.duplicate_rows(t("events").select("user_id", "event_type"))
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def distinct_rows(t):
+    return t("events").select("user_id", "event_type").distinct()
+
+
+@query("SELECT c_custkey, c_name, CAST(NULL AS BIGINT) AS s_suppkey, CAST(NULL AS VARCHAR) AS s_name FROM customer UNION ALL SELECT NULL, NULL, s_suppkey, s_name FROM supplier")
+def union_missing_columns(t):
+    return t("customer").select("c_custkey", "c_name").unionByName(t("supplier").select("s_suppkey", "s_name"), allowMissingColumns=True)
+
+
+@query("SELECT toxic, quality, count(*) AS n FROM labels GROUP BY toxic, quality")
+def label_distribution(t):
+    return t("labels").groupBy("toxic", "quality").agg(F.count(F.lit(1)).alias("n"))
+
+
+_PROFILED = ["p_brand", "p_type", "p_size", "p_name"]
+_PROFILE = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {'true' if c == 'p_size' else 'false'} AS is_numeric, count({c}) AS non_null, count(DISTINCT {c}) AS n_distinct, CAST(max(length(CAST({c} AS VARCHAR))) AS BIGINT) AS max_length, count({c}) + least(count(DISTINCT {c}), 10) * {100 if c == 'p_size' else 50} AS score FROM part" for c in _PROFILED)
+
+
+@query(_PROFILE)
+def column_profile(t):
+    return O.column_profile(t("part").select(*_PROFILED))
+
+
+@query(f"SELECT * FROM ({_PROFILE}) WHERE non_null > 0 AND \"column\" NOT IN ('p_type') AND (is_numeric OR NOT (n_distinct > 64 OR n_distinct > 0.8 * non_null OR max_length > 96)) ORDER BY score DESC, \"column\" LIMIT 128")
+def feature_select(t):
+    return O.select_features(O.column_profile(t("part").select(*_PROFILED)), ["p_type"])
+
+
+@query("SELECT max_by(source, struct_pack(n := n, s := source)) AS winner, CAST(max(n) AS BIGINT) AS files FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
+def source_type_vote(t):
+    return t("documents").groupBy("source").agg(F.count(F.lit(1)).alias("n")).agg(F.max_by("source", F.struct("n", "source")).alias("winner"), F.max("n").alias("files"))
+
+
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
+
+
+@query("SELECT o_orderkey, " + ", ".join(f"CASE WHEN o_orderpriority = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"o_orderpriority_{v}\"" for v in _PRIORITIES) + ", CASE WHEN o_orderpriority IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS o_orderpriority_nan FROM orders")
+def one_hot_align(t):
+    o = t("orders")
+    return o.select("o_orderkey", *O.one_hot(o, "o_orderpriority", _PRIORITIES))
+
+
+_WINDOWS = """WITH e AS (SELECT user_id, event_id, value, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS label, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+s AS (SELECT *, unnest(range(0, CAST(floor(greatest(n - 50, 0) / 10) * 10 AS BIGINT) + 1, 10)) AS window_start FROM e),
+w AS (SELECT *, CASE WHEN n < 50 AND r = n - 1 THEN 50 - n + 1 ELSE 1 END AS k FROM s WHERE r >= window_start AND r < window_start + 50)"""
+
+
+@query(_WINDOWS + " SELECT user_id, window_start, max(label) AS label, max_by(event_id, r) AS rep FROM w GROUP BY user_id, window_start")
+def sequence_windows(t):
+    return _windows(t).select("user_id", "window_start", "label", "rep")
+
+
+@query(_WINDOWS + " SELECT user_id, window_start, round(sum(value * k) / sum(k), 4) AS mean_value FROM w GROUP BY user_id, window_start")
+def window_mean_pool(t):
+    return _windows(t).select("user_id", "window_start", F.round("mean_value", 4).alias("mean_value"))
+
+
+def _windows(t):
+    e = t("events").withColumn("label", F.when(F.col("event_type") == "purchase", 1).otherwise(0))
+    return O.sequence_windows(e, "user_id", ["ts", "event_id"], "label", "event_id", 50, 10, ["value"])
+
+
+@query(_WINDOWS + """, p AS (SELECT max_by(event_id, r) AS event_id, round(sum(value * k) / sum(k) / 1000, 6) AS prob FROM w GROUP BY user_id, window_start)
+SELECT e.event_id, coalesce(last_value(p.prob IGNORE NULLS) OVER (PARTITION BY e.user_id ORDER BY e.ts, e.event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.5) AS prob FROM events e LEFT JOIN p USING (event_id)""")
+def probability_ffill(t):
+    p = _windows(t).select(F.col("rep").alias("event_id"), F.round(F.col("mean_value") / 1000, 6).alias("p"))
+    return t("events").join(p, "event_id", "left").select("event_id", O.forward_fill(F.col("p"), ["user_id"], ["ts", "event_id"], 0.5).alias("prob"))
+
+
+_SPLIT = "SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) AS r, count(*) OVER (PARTITION BY toxic) AS n FROM labels"
+
+
+def _ranked(t):
+    w = W.partitionBy("toxic")
+    return t("labels").select("doc_id", "toxic", F.row_number().over(w.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")).alias("r"), F.count(F.lit(1)).over(w).alias("n"))
+
+
+@query(f"SELECT doc_id, toxic, CASE WHEN r <= floor(0.75 * n) THEN 'train' ELSE 'test' END AS part FROM ({_SPLIT})")
+def stratified_split(t):
+    return _ranked(t).select("doc_id", "toxic", F.when(F.col("r") <= F.floor(0.75 * F.col("n")), "train").otherwise("test").alias("part"))
+
+
+@query(f"SELECT doc_id, toxic, CAST((r - 1) % 3 AS INTEGER) AS fold FROM ({_SPLIT})")
+def cv_folds(t):
+    return _ranked(t).select("doc_id", "toxic", ((F.col("r") - 1) % 3).cast("int").alias("fold"))
+
+
+_SCORED = """WITH f AS (SELECT d.doc_id, l.quality AS label, d.n_chars / 1000.0 AS a, (length(d.text) - length(replace(d.text, ' ', ''))) / 1000.0 AS b FROM documents d JOIN labels l USING (doc_id)),
+m AS (SELECT avg(a) FILTER (WHERE label = 1) AS a1, avg(a) FILTER (WHERE label = 0) AS a0, avg(b) FILTER (WHERE label = 1) AS b1, avg(b) FILTER (WHERE label = 0) AS b0 FROM f),
+z AS (SELECT doc_id, label, a, b, a1 - a0 AS wa, b1 - b0 AS wb, (a1 - a0) * a + (b1 - b0) * b - ((a1 - a0) * (a1 + a0) + (b1 - b0) * (b1 + b0)) / 2 AS z FROM f, m),
+s AS (SELECT *, 1.0 / (1.0 + exp(-least(30.0, greatest(-30.0, z)))) AS score FROM z)"""
+
+
+def _scored(t):
+    f = t("documents").join(t("labels"), "doc_id").select("doc_id", F.col("quality").alias("label"), (F.col("n_chars") / 1000).alias("a"), ((F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))) / 1000).alias("b"))
+    return f.crossJoin(F.broadcast(O.centroids(f, "label", ["a", "b"]))).withColumn("score", C.sigmoid(F.col("w_a") * F.col("a") + F.col("w_b") * F.col("b") + F.col("bias")))  # one row of weights
+
+
+@query(_SCORED + " SELECT doc_id, round(score, 5) AS score FROM s")
+def centroid_score(t):
+    return _scored(t).select("doc_id", F.round("score", 5).alias("score"))
+
+
+@query(_SCORED + " SELECT doc_id, round((round(score, 5) + 0.5 + (doc_id % 10) / 10.0 + (doc_id % 7) / 7.0) / 4, 4) AS score FROM s")
+def late_fusion(t):
+    return _scored(t).select("doc_id", F.round(C.late_fusion(F.round("score", 5), F.lit(0.5), (F.col("doc_id") % 10) / 10, (F.col("doc_id") % 7) / 7), 4).alias("score"))
+
+
+_COUNTED = _SCORED + ", c AS (SELECT count(*) FILTER (WHERE label = 1 AND p) AS tp, count(*) FILTER (WHERE label <> 1 AND p) AS fp, count(*) FILTER (WHERE label = 1 AND NOT p) AS fn, count(*) FILTER (WHERE label <> 1 AND NOT p) AS tn FROM (SELECT label, round(score, 5) >= 0.5 AS p FROM s))"
+
+
+@query(_COUNTED + " SELECT tp, fp, fn, tn, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1, round(coalesce(fp / nullif(fp + tn, 0), 0), 6) AS fpr FROM c")
+def binary_metrics(t):
+    return O.binary_metrics(_scored(t).withColumn("score", F.round("score", 5)), "label", "score")
+
+
+@query(_SCORED + ", r AS (SELECT label, rank() OVER (ORDER BY round(score, 5)) + (count(*) OVER (PARTITION BY round(score, 5)) - 1) / 2.0 AS r FROM s) SELECT round((sum(r) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0) / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label <> 1)), 6) AS auc FROM r")
+def roc_auc(t):
+    return O.roc_auc(_scored(t).withColumn("score", F.round("score", 5)), "label", "score")
+
+
+@query(_SCORED + ", c AS (SELECT doc_id, 'a' AS feature, round(wa * a, 5) AS contribution FROM s UNION ALL SELECT doc_id, 'b', round(wb * b, 5) FROM s) SELECT doc_id, max_by(feature, struct_pack(m := abs(contribution), f := feature)) AS top_feature FROM c GROUP BY doc_id")
+def explain_topk(t):
+    parts = F.array(*[F.struct(F.abs(F.round(F.col(f"w_{c}") * F.col(c), 5)).alias("m"), F.lit(c).alias("f")) for c in ("a", "b")])
+    return _scored(t).select("doc_id", F.array_max(parts)["f"].alias("top_feature"))
+
+
+def _logs(t):
+    return t("events").select(F.col("event_type").alias("service"), F.when(F.col("value") > 100, "ERROR").otherwise("info").alias("level"), F.lit("f").alias("function"), F.col("props").alias("message"), "ts", "event_id")
+
+
+_LOGS = "(SELECT event_type AS service, CASE WHEN value > 100 THEN 'ERROR' ELSE 'info' END AS level, 'f' AS function, props AS message, ts, event_id FROM events)"
+
+
+@query(f"SELECT service, level, message, event_id FROM {_LOGS} WHERE service IN ('click', 'view') AND lower(level) = 'error' AND contains(lower(concat_ws(' ', service, level, function, message)), '\"k\": 1') AND strftime(ts, '%H:%M:%S') >= '06:00:00'")
+def log_search(t):
+    return O.log_filter(_logs(t), ["click", "view"], "error", '"k": 1', None, "06:00:00").select("service", "level", "message", "event_id")
+
+
+@query(f"SELECT service, event_id FROM {_LOGS} WHERE (service, event_id) > ('login', 500) ORDER BY service, event_id LIMIT 51")
+def log_page_after_cursor(t):
+    return O.page_after(_logs(t).select("service", "event_id"), ["service", "event_id"], ["login", 500], 50)
+
+
+@query("SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 50 OFFSET 100")
+def page_offset(t):
+    return t("customer").select("c_custkey", "c_name").orderBy("c_custkey").offset(100).limit(50)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 14 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'patched' ELSE c_name END AS c_name FROM customer WHERE c_custkey % 5 <> 0")
+def overlay_patches(t):
+    c = t("customer").select("c_custkey", "c_name")
+    patches = c.where("c_custkey % 7 = 0").select("c_custkey", F.lit("c_name").alias("column"), F.when(F.col("c_custkey") % 14 != 0, "patched").alias("value"), F.lit(1).alias("seq"))
+    return O.overlay(c, "c_custkey", patches, c.where("c_custkey % 5 = 0"), ["c_name"])
+
+
+@query("SELECT o_custkey, max_by(o_orderkey, struct_pack(d := o_orderdate, k := o_orderkey)) AS o_orderkey, max(o_orderdate) AS o_orderdate FROM orders GROUP BY o_custkey")
+def latest_per_key(t):
+    return O.latest_per_key(t("orders").select("o_custkey", "o_orderdate", "o_orderkey"), "o_custkey", ["o_orderdate", "o_orderkey"])
+
+
+@query("SELECT c_nationkey, count(*) AS n FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey WHERE p_size > 25 GROUP BY c_nationkey")
+def lineage_join(t):
+    o, l, p = t("orders").select("o_orderkey", "o_custkey"), t("lineitem").select("l_orderkey", "l_partkey"), t("part").where("p_size > 25").select("p_partkey")
+    joined = l.join(p, l.l_partkey == p.p_partkey).join(o, l.l_orderkey == o.o_orderkey).join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    return joined.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45) AND o_orderstatus = 'O' THEN 'deprecated' ELSE o_orderstatus END AS status FROM orders")
+def promote_semi_join(t):
+    hit = t("lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("hit", F.lit(True))
+    return t("orders").join(hit, "o_orderkey", "left").select("o_orderkey", F.when(F.col("hit") & (F.col("o_orderstatus") == "O"), "deprecated").otherwise(F.col("o_orderstatus")).alias("status"))
+
+
+@query("""SELECT coalesce(f.k, k.k) AS c_custkey, CASE WHEN k.k IS NULL THEN 'insert' WHEN f.k IS NOT NULL THEN 'update' WHEN r.k IS NOT NULL THEN 'keep' ELSE 'delete' END AS action
+FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 <> 0) f FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0) k ON f.k = k.k LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders) r ON r.k = coalesce(f.k, k.k)""")
+def catalog_sync_full_outer(t):
+    c = t("customer").select("c_custkey")
+    return O.catalog_sync(c.where("c_custkey % 3 <> 0"), c.where("c_custkey % 2 = 0"), "c_custkey", t("orders").select(F.col("o_custkey").alias("c_custkey")))
+
+
+@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def lookup_join(t):
+    return t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+
+
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def not_referenced_anti(t):
+    return t("customer").join(t("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query("SELECT d.doc_id FROM documents d JOIN labels l USING (doc_id) WHERE l.quality = 1 AND l.toxic = 0 AND d.lang IN ('en', 'de')")
+def eligibility_filter(t):
+    return t("documents").where(F.col("lang").isin("en", "de")).join(t("labels").where("quality = 1 AND toxic = 0"), "doc_id").select("doc_id")
+
+
+@query("SELECT conv_id, array_to_string(list_sort(list(DISTINCT role)), ',') AS roles FROM conversations GROUP BY conv_id")
+def distinct_tags_sorted(t):
+    return t("conversations").groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_set("role")), ",").alias("roles"))
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS entity, count(*) AS n FROM {n}" for n in ("customer", "orders", "events", "documents", "labels")))
+def dashboard_counts(t):
+    parts = [t(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("entity"), "n") for n in ("customer", "orders", "events", "documents", "labels")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
