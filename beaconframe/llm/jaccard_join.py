@@ -116,6 +116,7 @@ def _leaves(classes: DataFrame, runs: int, similarity: float) -> tuple[DataFrame
     nodes = classes.select("rid", "sketch", F.explode(roots).alias("parent")).select("rid", F.lit(None).cast("bigint").alias("above"), _children(F.col("parent"), F.col("sketch"), similarity).alias("node"))
     small = large = None
     for depth in range(1, DEPTH + 1):
+        nodes = cut(nodes)
         sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         level = cut(nodes.join(sizes, "node"))
         dense = F.lit(depth == DEPTH) | F.coalesce(F.col("size") >= DENSE * F.col("above"), F.lit(False))
