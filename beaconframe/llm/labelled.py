@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled documents of each class that a classifier is fitted on, at most: those with the least hash of their id.
-SAMPLE_PER_CLASS = 4000
+SAMPLE_PER_CLASS = 2500
 FOLDS = 5
 
 

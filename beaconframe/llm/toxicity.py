@@ -81,29 +81,42 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     y = np.array([r[1] for r in rows], float)
     if len(rows) == 0 or y.min() == y.max():
         return Model()
-    seen: dict[str, list[int]] = {}
-    bags = []
+    vocabulary: dict[str, int] = {}
+    features: dict[str, int] = {}
+    of_word: list[tuple[int, ...]] = []
+    counts: list[list[int]] = [[], []]
+    bags = []  # word numbers, and -1 where a sentence ends
     for text, label in rows:
-        sentences = [[t for t in s if t not in _ENDS] for s in _split(_TOKEN.findall(text.lower()))]
-        bags.append([s for s in sentences if s])
-        for f in {f for w in {w for s in bags[-1] for w in s} for f in word_features(w)}:
-            seen.setdefault(f, [0, 0])[label] += 1
+        bag = []
+        for word in _TOKEN.findall(text.lower()):
+            if word in _ENDS:
+                bag.append(-1)
+                continue
+            k = vocabulary.setdefault(word, len(of_word))
+            if k == len(of_word):
+                of_word.append(tuple(features.setdefault(f, len(features)) for f in word_features(word)))
+            bag.append(k)
+        bags.append(np.array(bag, np.int32))
+        for c in counts:
+            c.extend([0] * (len(features) - len(c)))
+        for f in {f for k in set(bag) if k >= 0 for f in of_word[k]}:
+            counts[label][f] += 1
+    c0, c1 = (np.array(c, float) for c in counts)
     n1 = y.sum()
     n0 = len(y) - n1
-    names = []
-    for f, (c0, c1) in seen.items():
-        p = (c0 + c1) / len(y)
-        if c0 + c1 >= MIN_DOCS and abs(c1 / n1 - c0 / n0) >= MIN_Z * np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)):
-            names.append(f)
-    index = {f: i for i, f in enumerate(sorted(names))}
+    p = (c0 + c1) / len(y)
+    chosen = (c0 + c1 >= MIN_DOCS) & (abs(c1 / n1 - c0 / n0) >= MIN_Z * np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)))
+    number = np.cumsum(chosen) - 1
+    index = {f: int(number[i]) for f, i in features.items() if chosen[i]}
+    selected = [[int(number[f]) for f in fs if chosen[f]] for fs in of_word]
     feature, sentence, of = [], [], []
     for d, bag in enumerate(bags):
-        for words in bag:
-            for w in words:
-                for f in word_features(w):
-                    if (i := index.get(f)) is not None:
-                        feature.append(i)
-                        sentence.append(len(of))
+        ends = np.cumsum(bag < 0)
+        for s in np.unique(ends[bag >= 0]).tolist():
+            for k in bag[(ends == s) & (bag >= 0)].tolist():
+                for i in selected[k]:
+                    feature.append(i)
+                    sentence.append(len(of))
             of.append(d)
     feature, sentence, of = np.array(feature, int), np.array(sentence, int), np.array(of, int)
     w, bias = np.zeros(len(index)), START
@@ -113,7 +126,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         off = np.bincount(of, np.logaddexp(0, z), len(y))  # -log(1 - P)
         # dLoss/dz: p where the label is 0, and -p (1 - P) / P where it is 1
         scale = np.where(y > 0, -1 / np.expm1(np.clip(off, 1e-12, 700)), 1.0)
-        g = scale[of] / (1 + np.exp(-z)) / len(y)
+        g = scale[of] * np.exp(-np.logaddexp(0, -z)) / len(y)
         grad = np.append(np.bincount(feature, g[sentence], len(index)) + DECAY * w, g.sum())
         m += 0.1 * (grad - m)
         v += 0.001 * (grad * grad - v)
@@ -123,15 +136,6 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     return Model({f: float(w[i]) for f, i in index.items() if w[i]}, float(bias))
 
 
-def _split(tokens: list[str]) -> Iterator[list[str]]:
-    a = 0
-    for i, t in enumerate(tokens):
-        if t in _ENDS:
-            yield tokens[a:i]
-            a = i + 1
-    yield tokens[a:]
-
-
 def offending(text: str, model: Model, threshold: float = 0.5) -> list[tuple[int, int, float]]:
     """start, end and score of each sentence whose own score reaches the threshold (code points of the text)."""
     out = []
