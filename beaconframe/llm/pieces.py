@@ -259,10 +259,22 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.select(*[F.col(f"`{f.name}`") for f in kept], "ids").mapInArrow(lambda it: _decoded(it, p), f"{declared}text string")
 
 
+def _joined(batches: Iterator[pa.RecordBatch], least: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `least` bytes: the more words together, the fewer distinct ones to merge."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= least:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _digests(batches: Iterator[pa.RecordBatch], path: str, seed: int, dropout: float, variants: int) -> Iterator[pa.RecordBatch]:
     """Encodes, and decodes again, without keeping the ids."""
     pieces = model(path)
-    for batch in batches:
+    for batch in _joined(batches):
         texts, docs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         ids = pieces.encode_all(texts, docs, seed, dropout, variants)
         back = [pieces.decode(i) for i in ids]
