@@ -17,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from beaconframe.session import ship, table
 
 SPACE = "▁"
 DROPOUT, SEED, VARIANTS, LONG = 0.1, 17, 4, 40
+#: Words of one length that are merged together: few enough for the processor's caches.
+ROUND = 1 << 13
 _WORD = re.compile(r" *[^ ]+| +")
 _NONE = np.int64(1) << 40
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -49,13 +52,17 @@ class Pieces:
         self.pieces = [model.id_to_piece(i) for i in range(n)]
         special = [model.is_control(i) or model.is_unknown(i) or model.is_byte(i) for i in range(n)]
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+        byte_of = {i: bytes([b]) for b, i in self.bytes.items()}
+        spelled = [byte_of.get(i) or p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
+        self.byte_size = np.array([len(s) for s in spelled], np.int64)
+        self.byte_start = np.cumsum(self.byte_size) - self.byte_size
+        self.byte_flat = np.frombuffer(b"".join(spelled), np.uint8)
         self.ids = {p: i for i, p in enumerate(self.pieces) if not special[i]}
         self.chars = {p: i for p, i in self.ids.items() if len(p) == 1}
         order = sorted(self.ids.values(), key=lambda i: -model.get_score(i))
         rank = np.zeros(n, np.int64)
         rank[order] = np.arange(len(order))
-        self.n, self.rank = n, rank
+        self.n, self.rank, self.ranked = n, rank, np.array(order, np.int64)
         pairs = sorted((self.ids[p[:k]] * n + self.ids[p[k:]], i) for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids)
         self.keys = np.array([k for k, _ in pairs] or [-1], np.int64)
         self.union = np.array([i for _, i in pairs] or [0], np.int64)
@@ -107,8 +114,8 @@ class Pieces:
         order = np.argsort(lengths, kind="stable")
         edges = [0, *(np.flatnonzero(np.diff(np.minimum(lengths[order], LONG + 1))) + 1).tolist(), len(words)]
         for a, b in zip(edges[:-1], edges[1:], strict=True):
-            for c in range(a, b, 1 << 16):
-                rows = order[c : min(b, c + (1 << 16))]
+            for c in range(a, b, ROUND):
+                rows = order[c : min(b, c + ROUND)]
                 if lengths[rows[0]] > LONG:
                     for r in rows:
                         out[r] = self.agenda(words[r], int(keys[r]), dropout)
@@ -118,48 +125,42 @@ class Pieces:
         return out
 
     def _rounds(self, sym: np.ndarray, keys: np.ndarray, dropout: float) -> list[list[int]]:
+        """Words of one length: those that still merge have equally many pieces, one fewer each round."""
         n, width = sym.shape
-        if width == 1:
-            return sym.tolist()
-        start = np.tile(np.arange(width + 1), (n, 1))
-        count = np.full(n, width)
         final: list[list[int]] = [[]] * n
+        start = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
         rows = np.arange(n)
 
-        def ranks(s: np.ndarray, t: np.ndarray, k: np.ndarray, i: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            u = self._lookup(s[r, i], s[r, i + 1])
-            ok = u >= 0
-            hit = np.flatnonzero(ok)
-            ok[hit] = ~skipped(k[r[hit]], t[r[hit], i[hit]], t[r[hit], i[hit] + 1], t[r[hit], i[hit] + 2], dropout)
-            return np.where(ok, self.rank[u], _NONE), u
+        def ranks(r: np.ndarray, i: np.ndarray) -> np.ndarray:
+            u = self._lookup(sym[r, i], sym[r, i + 1])
+            out = np.where(u >= 0, self.rank[u], _NONE)
+            hit = np.flatnonzero(u >= 0)
+            r, i = r[hit], i[hit]
+            out[hit[skipped(keys[r], start[r, i], start[r, i + 1], start[r, i + 2], dropout)]] = _NONE
+            return out
 
-        r, i = np.divmod(np.arange(n * (width - 1)), width - 1)
-        rank, union = (x.reshape(n, width - 1) for x in ranks(sym, start, keys, i, r))
-        while True:
+        rank = ranks(*np.divmod(np.arange(n * (width - 1)), max(1, width - 1))).reshape(n, width - 1)
+        while width > 1:
             best = rank.argmin(1)
-            here = np.arange(len(rank))
-            live = rank[here, best] < _NONE
-            for k in np.flatnonzero(~live):
-                final[rows[k]] = sym[k, : count[k]].tolist()
-            if not live.any():
-                return final
-            rows, sym, start, keys, rank, union, count, best = (x[live] for x in (rows, sym, start, keys, rank, union, count, best))
+            least = rank[np.arange(len(rank)), best]
+            live = least < _NONE
+            if not live.all():
+                for k, ids in zip(rows[~live].tolist(), sym[~live].tolist(), strict=True):
+                    final[k] = ids
+                rows, sym, start, keys, rank, best, least = (x[live] for x in (rows, sym, start, keys, rank, best, least))
+                if not len(rows):
+                    return final
             here = np.arange(len(rows))
-            sym[here, best] = union[here, best]
-            columns = np.arange(width - 1)
-            shift = columns[None, :] + (columns[None, :] > best[:, None])
-            sym = np.concatenate([np.take_along_axis(sym, shift, 1), np.full((len(rows), 1), -1)], 1)
-            start = np.concatenate([np.take_along_axis(start[:, 1:], np.minimum(np.arange(width)[None, :] + (np.arange(width)[None, :] >= best[:, None]), width - 1), 1)], 1)
-            start = np.concatenate([np.zeros((len(rows), 1), start.dtype), start], 1)
-            count = count - 1
-            pairs = np.arange(width - 1)
-            move = np.minimum(pairs[None, :] + (pairs[None, :] > best[:, None]), width - 2)
-            rank, union = np.take_along_axis(rank, move, 1), np.take_along_axis(union, move, 1)
-            rank[pairs[None, :] >= (count - 1)[:, None]] = _NONE
+            sym[here, best] = self.ranked[least]
+            gone = np.arange(width + 1) == (best + 1)[:, None]
+            sym, start, rank = sym[~gone[:, :-1]].reshape(len(rows), width - 1), start[~gone].reshape(len(rows), width), rank[~gone[:, 1:-1]].reshape(len(rows), width - 2)
+            width -= 1
             for at in (best - 1, best):
-                ok = np.flatnonzero((at >= 0) & (at < count - 1))
-                if len(ok):
-                    rank[ok, at[ok]], union[ok, at[ok]] = ranks(sym, start, keys, at[ok], ok)
+                ok = np.flatnonzero((at >= 0) & (at < width - 1))
+                rank[ok, at[ok]] = ranks(ok, at[ok])
+        for k, ids in zip(rows.tolist(), sym.tolist(), strict=True):
+            final[k] = ids
+        return final
 
     def encode_all(self, texts: list[str | None], docs: list[int], seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS) -> list[np.ndarray]:
         """The ids of each text; docs has a 64-bit key for each."""
@@ -172,32 +173,48 @@ class Pieces:
         place = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         doc = np.repeat(np.array(docs, np.int64).view(np.uint64), sizes)
         variant = (_mix(_mix(doc + np.uint64(seed & 0xFFFFFFFFFFFFFFFF)) + place.astype(np.uint64) * _M1) % np.uint64(variants)).astype(np.int64) if dropout else np.zeros(len(which), np.int64)
-        cases, back = np.unique(which * variants + variant, return_inverse=True)
+        case = which * variants + variant
+        used = np.zeros(len(distinct) * variants, bool)
+        used[case] = True
+        cases, back = np.flatnonzero(used), (np.cumsum(used) - 1)[case]
         symbols = [self.symbols(w) for w in distinct]
         names = np.array([int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in distinct], np.uint64)
         keys = _mix(names[cases // variants] + (cases % variants).astype(np.uint64) * _M1 + np.uint64(seed * int(_M3) & 0xFFFFFFFFFFFFFFFF))
-        made = [self._with_bytes(m) for m in self.merge([symbols[c] for c in (cases // variants).tolist()], keys, dropout)]
-        lengths = np.array([len(m) for m in made], np.int64)
-        flat, starts = np.fromiter((i for m in made for i in m), np.int32, int(lengths.sum())), np.cumsum(lengths) - lengths
+        made = self.merge([symbols[c] for c in (cases // variants).tolist()], keys, dropout)
+        lengths, flat = self._flat(made)
+        if flat.min() < 0:
+            lengths, flat = self._flat([self._with_bytes(m) for m in made])
+        starts = np.cumsum(lengths) - lengths
         size = lengths[back]
         to = np.cumsum(size)
         ids = flat[np.repeat(starts[back] - (to - size), size) + np.arange(to[-1])]
         ends = np.r_[0, to][np.r_[0, np.cumsum(sizes)]]
         return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
+    @staticmethod
+    def _flat(made: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.fromiter(map(len, made), np.int64, len(made))
+        return lengths, np.fromiter(chain.from_iterable(made), np.int32, int(lengths.sum()))
+
     def _with_bytes(self, symbols: list[int]) -> list[int]:
         if min(symbols) >= 0:
             return symbols
         return [i for s in symbols for i in ([s] if s >= 0 else [self.bytes[b] for b in chr(-2 - s).encode("utf-8", "surrogatepass")])]
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text whose encoding these ids are, whatever its segmentation."""
-        out = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.plain(i) for i in ids.tolist())
-        return out[1:].decode("utf-8", "surrogatepass")
+    def decode_all(self, encoded: list[np.ndarray]) -> list[bytes]:
+        """Of each text's ids, whatever its segmentation, the text in UTF-8."""
+        sizes = np.array([len(i) for i in encoded], np.int64)
+        if not sizes.sum():
+            return [b"" for _ in encoded]
+        ids = np.concatenate(encoded)
+        size = self.byte_size[ids]
+        to = np.cumsum(size)
+        out = self.byte_flat[np.repeat(self.byte_start[ids] - (to - size), size) + np.arange(to[-1])].tobytes()
+        ends = np.r_[0, to][np.r_[0, np.cumsum(sizes)]].tolist()
+        return [out[a + 1 : b] for a, b in zip(ends[:-1], ends[1:], strict=True)]  # without the mark before the first word
 
-    @lru_cache(maxsize=None)  # as many as the model has pieces  # noqa: B019
-    def plain(self, i: int) -> bytes:
-        return self.pieces[i].replace(SPACE, " ").encode()
+    def decode(self, ids: np.ndarray) -> str:
+        return self.decode_all([ids])[0].decode("utf-8", "surrogatepass")
 
 
 def skipped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
@@ -245,7 +262,9 @@ def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
     pieces = model(path)
     for batch in batches:
         at = batch.schema.get_field_index("ids")
-        texts = [pieces.decode(np.array(i.as_py(), np.int32)) if i.is_valid else None for i in batch.column(at)]
+        given = [i.values.to_numpy(zero_copy_only=False) if i.is_valid else None for i in batch.column(at)]
+        back = iter(pieces.decode_all([i for i in given if i is not None]))
+        texts = [None if i is None else next(back).decode("utf-8", "surrogatepass") for i in given]
         columns = [c for k, c in enumerate(batch.columns) if k != at]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[n for n in batch.schema.names if n != "ids"] + ["text"])
 
@@ -277,14 +296,14 @@ def _digests(batches: Iterator[pa.RecordBatch], path: str, seed: int, dropout: f
     for batch in _joined(batches):
         texts, docs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         ids = pieces.encode_all(texts, docs, seed, dropout, variants)
-        back = [pieces.decode(i) for i in ids]
+        back = pieces.decode_all(ids)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 pa.array([len(i) for i in ids], pa.int64()),
                 pa.array([zlib.crc32(i.astype("<u4").tobytes()) for i in ids], pa.int64()),
-                pa.array([hashlib.sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in back]),
-                pa.array([b == (t or "") for b, t in zip(back, texts, strict=True)]),
+                pa.array([hashlib.sha256(b).hexdigest() for b in back]),
+                pa.array([b == (t or "").encode("utf-8", "surrogatepass") for b, t in zip(back, texts, strict=True)]),
             ],
             names=[batch.schema.names[0], "n_pieces", "ids_crc32", "decoded_sha256", "lossless"],
         )
