@@ -2,11 +2,15 @@
 
 The agenda takes the best-scored adjacent pair whose union is a piece (leftmost on ties)
 until none is left. With dropout, a candidate merge is skipped if a keyed hash of its
-place says so: the key is the seed, the word, the variant drawn for the word's place in
-its document, and the candidate's start, middle and end. So a run can be repeated
-anywhere, and other seeds, documents and places give other segmentations. Merges never
-cross the start of a word, so the distinct words of a batch are merged together, a step
-of every agenda at a time; words of over LONG characters have an agenda of their own.
+place says so: the key is the seed, the document, the word's place in it, and the
+candidate's start, middle and end. So a run can be repeated anywhere, and other seeds,
+documents and places are drawn independently. Merges never cross the start of a word.
+
+Work is shared where the outcome is the same: only a merge that the agenda comes to has to
+be drawn, so the distinct words of a batch are merged without skips first, and each
+occurrence draws along that path up to its first skip. Occurrences of one word with the
+same first skip go on together from there, and so on until nothing is skipped. Words of
+over SHARED characters are merged one by one, those of over LONG by an agenda of their own.
 """
 
 from __future__ import annotations
@@ -15,9 +19,8 @@ import hashlib
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +30,12 @@ from pyspark.sql import functions as F
 from beaconframe.session import ship, table
 
 SPACE = "▁"
-DROPOUT, SEED, VARIANTS, LONG = 0.1, 17, 4, 40
+DROPOUT, SEED, SHARED, LONG = 0.1, 17, 14, 40
 #: Words of one length that are merged together: few enough for the processor's caches.
 ROUND = 1 << 13
 _WORD = re.compile(r" *[^ ]+| +")
 _NONE = np.int64(1) << 40
+_LOW, _ALL = (1 << 21) - 1, (1 << 64) - 1
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -59,6 +63,9 @@ class Pieces:
         self.byte_flat = np.frombuffer(b"".join(spelled), np.uint8)
         self.ids = {p: i for i, p in enumerate(self.pieces) if not special[i]}
         self.chars = {p: i for p, i in self.ids.items() if len(p) == 1}
+        self.of_char = -2 - np.arange(0x110000, dtype=np.int64)
+        for c, i in self.chars.items():
+            self.of_char[ord(" " if c == SPACE else c)] = i
         order = sorted(self.ids.values(), key=lambda i: -model.get_score(i))
         rank = np.zeros(n, np.int64)
         rank[order] = np.arange(len(order))
@@ -68,10 +75,9 @@ class Pieces:
         self.union = np.array([i for _, i in pairs] or [0], np.int64)
         self.pair = dict(pairs)
 
-    def symbols(self, word: str) -> list[int]:
-        """A piece for each character; -2 - code point for those without one, and for a literal word mark."""
-        get = self.chars.get
-        return [-2 - ord(c) if c == SPACE or (i := get(SPACE if c == " " else c)) is None else i for c in word]
+    def symbols(self, words: list[str]) -> np.ndarray:
+        """A piece for each character of all words; -2 - code point for those without one, and for a literal word mark."""
+        return self.of_char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
 
     def _lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair makes, or -1."""
@@ -89,7 +95,7 @@ class Pieces:
         def propose(i: int) -> None:
             j = after[i] if i >= 0 else n
             if j < n and sym[i] >= 0 and sym[j] >= 0 and (u := self.pair.get(sym[i] * self.n + sym[j])) is not None:
-                if not skipped(np.array([key], np.uint64), np.array([start[i]]), np.array([start[j]]), np.array([end(j)]), dropout)[0]:
+                if not _skips(key, start[i] << 42 ^ start[j] << 21 ^ end(j), dropout):
                     heapq.heappush(heap, (int(self.rank[u]), i, sym[i], sym[j]))
 
         for i in range(n - 1):
@@ -107,28 +113,13 @@ class Pieces:
             propose(i)
         return [s for s, g in zip(sym, gone, strict=True) if not g]
 
-    def merge(self, words: list[list[int]], keys: np.ndarray, dropout: float) -> list[list[int]]:
-        """All words at once, a step of each agenda a round."""
-        out: list[list[int]] = [[]] * len(words)
-        lengths = np.array([len(w) for w in words])
-        order = np.argsort(lengths, kind="stable")
-        edges = [0, *(np.flatnonzero(np.diff(np.minimum(lengths[order], LONG + 1))) + 1).tolist(), len(words)]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            for c in range(a, b, ROUND):
-                rows = order[c : min(b, c + ROUND)]
-                if lengths[rows[0]] > LONG:
-                    for r in rows:
-                        out[r] = self.agenda(words[r], int(keys[r]), dropout)
-                else:
-                    for r, ids in zip(rows, self._rounds(np.array([words[r] for r in rows], np.int64), keys[rows], dropout), strict=True):
-                        out[r] = ids
-        return out
+    def _rounds(self, sym: np.ndarray, start: np.ndarray, skip: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words of equally many pieces (-1 fills up at the right), a step of each agenda a round.
 
-    def _rounds(self, sym: np.ndarray, keys: np.ndarray, dropout: float) -> list[list[int]]:
-        """Words of one length: those that still merge have equally many pieces, one fewer each round."""
+        Gives the pieces left, and the place and union of each merge done, in order (-1: no more).
+        """
         n, width = sym.shape
-        final: list[list[int]] = [[]] * n
-        start = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
+        final, places, unions = np.full((n, width), -1, np.int64), np.full((n, max(0, width - 1)), -1, np.int64), np.zeros((n, max(0, width - 1)), np.int64)
         rows = np.arange(n)
 
         def ranks(r: np.ndarray, i: np.ndarray) -> np.ndarray:
@@ -136,33 +127,98 @@ class Pieces:
             out = np.where(u >= 0, self.rank[u], _NONE)
             hit = np.flatnonzero(u >= 0)
             r, i = r[hit], i[hit]
-            out[hit[skipped(keys[r], start[r, i], start[r, i + 1], start[r, i + 2], dropout)]] = _NONE
+            out[hit[skip(rows[r], _place(start[r, i], start[r, i + 1], start[r, i + 2]))]] = _NONE
             return out
 
         rank = ranks(*np.divmod(np.arange(n * (width - 1)), max(1, width - 1))).reshape(n, width - 1)
+        step = 0
         while width > 1:
             best = rank.argmin(1)
             least = rank[np.arange(len(rank)), best]
             live = least < _NONE
             if not live.all():
-                for k, ids in zip(rows[~live].tolist(), sym[~live].tolist(), strict=True):
-                    final[k] = ids
-                rows, sym, start, keys, rank, best, least = (x[live] for x in (rows, sym, start, keys, rank, best, least))
+                final[rows[~live], :width] = sym[~live]
+                rows, sym, start, rank, best, least = (x[live] for x in (rows, sym, start, rank, best, least))
                 if not len(rows):
-                    return final
+                    return final, places, unions
             here = np.arange(len(rows))
-            sym[here, best] = self.ranked[least]
+            places[rows, step] = _place(start[here, best], start[here, best + 1], start[here, best + 2])
+            sym[here, best] = unions[rows, step] = self.ranked[least]
             gone = np.arange(width + 1) == (best + 1)[:, None]
             sym, start, rank = sym[~gone[:, :-1]].reshape(len(rows), width - 1), start[~gone].reshape(len(rows), width), rank[~gone[:, 1:-1]].reshape(len(rows), width - 2)
-            width -= 1
+            width, step = width - 1, step + 1
             for at in (best - 1, best):
                 ok = np.flatnonzero((at >= 0) & (at < width - 1))
                 rank[ok, at[ok]] = ranks(ok, at[ok])
-        for k, ids in zip(rows.tolist(), sym.tolist(), strict=True):
-            final[k] = ids
-        return final
+        final[rows, :width] = sym
+        return final, places, unions
 
-    def encode_all(self, texts: list[str | None], docs: list[int], seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS) -> list[np.ndarray]:
+    def _each(self, sym: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
+        """Words of one length, each under its own key."""
+        n, width = sym.shape
+        out = np.full((n, width), -1, np.int64)
+        for a in range(0, n, ROUND):
+            mine = keys[a : a + ROUND]
+            out[a : a + ROUND] = self._rounds(sym[a : a + ROUND].copy(), np.tile(np.arange(width + 1), (len(mine), 1)), lambda r, p: skipped(mine[r], p, dropout))[0]  # noqa: B023
+        return out
+
+    def _resumed(self, sym: np.ndarray, done: np.ndarray, places: np.ndarray, unions: np.ndarray, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words of one length after their first `done` merges of the given ones, merged on without the barred places."""
+        n, width = sym.shape
+        before = np.arange(width - 1) < done[:, None]
+        final, places, unions = np.full((n, width), -1, np.int64), np.where(before, places, -1), np.where(before, unions, 0)
+        order = np.argsort(-done, kind="stable")
+        for a in range(0, n, ROUND):
+            rows = order[a : a + ROUND]
+            s, lives, given = sym[rows], np.ones((len(rows), width + 1), bool), places[rows]
+            for k in range(int(done[rows].max())):
+                r = np.flatnonzero(given[:, k] >= 0)
+                s[r, given[r, k] >> 42] = unions[rows[r], k]
+                lives[r, given[r, k] >> 21 & _LOW] = False
+            w = width - int(done[rows].min())
+            r, c = np.nonzero(lives)
+            to = (np.cumsum(lives, 1) - 1)[r, c]
+            start, now = np.full((len(rows), w + 1), width, np.int64), np.full((len(rows), w), -1, np.int64)
+            start[r, to] = c
+            inner = c < width
+            now[r[inner], to[inner]] = s[r[inner], c[inner]]
+            never = barred[rows]
+            f, p, u = self._rounds(now, start, lambda r, p: (never[r] == p[:, None]).any(1))  # noqa: B023
+            final[rows, :w] = f
+            r, k = np.nonzero(p >= 0)
+            places[rows[r], done[rows[r]] + k] = p[r, k]
+            unions[rows[r], done[rows[r]] + k] = u[r, k]
+        return final, places, unions
+
+    def _together(self, words: np.ndarray, word: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences (word, key) of the distinct words of one length. Out: outcomes, and each occurrence's outcome."""
+        n, width = words.shape
+        owner, barred = np.arange(n), np.zeros((n, 0), np.int64)
+        final, places, unions = self._resumed(words, np.zeros(n, np.int64), np.full((n, width - 1), -1, np.int64), np.zeros((n, width - 1), np.int64), barred)
+        finals, made, outcome = [final], 0, word.copy()
+        live, state, done = np.arange(len(word) if dropout else 0), word, np.zeros(len(word), np.int64)
+        while len(live):
+            hit, todo = np.full(len(live), -1), np.arange(len(live))
+            for k in range(int(done.min()), width - 1):
+                ready = todo[done[todo] <= k]
+                place = places[state[ready], k]
+                ready, place = ready[place >= 0], place[place >= 0]
+                hit[ready[skipped(keys[live[ready]], place, dropout)]] = k
+                todo = todo[hit[todo] < 0]
+            outcome[live] = made + state
+            at = np.flatnonzero(hit >= 0)
+            cases, back = np.unique(state[at] * width + hit[at], return_inverse=True)
+            if not len(cases):
+                break
+            made += len(final)
+            parent, stop = np.divmod(cases, width)
+            owner, barred = owner[parent], np.c_[barred[parent], places[parent, stop]]
+            final, places, unions = self._resumed(words[owner], stop, places[parent], unions[parent], barred)
+            finals.append(final)
+            live, state, done = live[at], back, stop[back]
+        return np.concatenate(finals), outcome
+
+    def encode_all(self, texts: list[str | None], docs: list[int], seed: int = SEED, dropout: float = DROPOUT) -> list[np.ndarray]:
         """The ids of each text; docs has a 64-bit key for each."""
         found = [_WORD.findall(" " + t) if t else [] for t in texts]
         sizes = np.array([len(f) for f in found], np.int64)
@@ -172,34 +228,53 @@ class Pieces:
         distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         place = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         doc = np.repeat(np.array(docs, np.int64).view(np.uint64), sizes)
-        variant = (_mix(_mix(doc + np.uint64(seed & 0xFFFFFFFFFFFFFFFF)) + place.astype(np.uint64) * _M1) % np.uint64(variants)).astype(np.int64) if dropout else np.zeros(len(which), np.int64)
-        case = which * variants + variant
-        used = np.zeros(len(distinct) * variants, bool)
-        used[case] = True
-        cases, back = np.flatnonzero(used), (np.cumsum(used) - 1)[case]
-        symbols = [self.symbols(w) for w in distinct]
-        names = np.array([int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in distinct], np.uint64)
-        keys = _mix(names[cases // variants] + (cases % variants).astype(np.uint64) * _M1 + np.uint64(seed * int(_M3) & 0xFFFFFFFFFFFFFFFF))
-        made = self.merge([symbols[c] for c in (cases // variants).tolist()], keys, dropout)
-        lengths, flat = self._flat(made)
-        if flat.min() < 0:
-            lengths, flat = self._flat([self._with_bytes(m) for m in made])
-        starts = np.cumsum(lengths) - lengths
-        size = lengths[back]
+        keys = _mix(_mix(doc + np.uint64(seed & _ALL)) + place.astype(np.uint64) * _M1)
+        symbols, width = self.symbols(distinct), np.fromiter(map(len, distinct), np.int64, len(distinct))
+        first, rank = np.cumsum(width) - width, np.zeros(len(distinct), np.int64)
+        back, lengths, flat, made = np.zeros(len(which), np.int64), [], [], 0
+        by_word, by_place = np.argsort(width, kind="stable"), np.argsort(width[which].astype(np.int16) if width.max() < 1 << 15 else width[which], kind="stable")
+        word_ends, place_ends = np.cumsum(np.bincount(width)), np.cumsum(np.bincount(width[which]))
+        for n in np.unique(width).tolist():
+            mine, here = by_word[word_ends[n - 1] : word_ends[n]], by_place[place_ends[n - 1] : place_ends[n]]
+            rank[mine] = np.arange(len(mine))
+            words, word = symbols[first[mine][:, None] + np.arange(n)], rank[which[here]]
+            if n <= SHARED or not dropout and n <= LONG:
+                out, outcome = self._together(words, word, keys[here], dropout)
+            elif n <= LONG:
+                out, outcome = self._each(words[word], keys[here], dropout), np.arange(len(here))
+            else:
+                each, outcome = np.unique(word, return_inverse=True) if not dropout else (word, np.arange(len(here)))
+                ids = [self.agenda(words[w].tolist(), k, dropout) for w, k in zip(each.tolist(), keys[here].tolist())]  # noqa: B905
+                out = np.full((len(ids), n), -1, np.int64)
+                for k, i in enumerate(ids):
+                    out[k, : len(i)] = i
+            size, ids = (out != -1).sum(1), out[out != -1]
+            if ids.min() < -1:
+                size, ids = self._with_bytes(size, ids)
+            back[here] = made + outcome
+            made += len(out)
+            lengths.append(size)
+            flat.append(ids.astype(np.int32))
+        length, ids = np.concatenate(lengths), np.concatenate(flat)
+        starts, size = np.cumsum(length) - length, length[back]
         to = np.cumsum(size)
-        ids = flat[np.repeat(starts[back] - (to - size), size) + np.arange(to[-1])]
+        ids = ids[np.repeat(starts[back] - (to - size), size) + np.arange(to[-1])]
         ends = np.r_[0, to][np.r_[0, np.cumsum(sizes)]]
         return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
-    @staticmethod
-    def _flat(made: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        lengths = np.fromiter(map(len, made), np.int64, len(made))
-        return lengths, np.fromiter(chain.from_iterable(made), np.int32, int(lengths.sum()))
-
-    def _with_bytes(self, symbols: list[int]) -> list[int]:
-        if min(symbols) >= 0:
-            return symbols
-        return [i for s in symbols for i in ([s] if s >= 0 else [self.bytes[b] for b in chr(-2 - s).encode("utf-8", "surrogatepass")])]
+    def _with_bytes(self, size: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and pieces with byte pieces for characters without a piece."""
+        spelled = {s: [self.bytes[b] for b in chr(-2 - s).encode("utf-8", "surrogatepass")] for s in np.unique(ids[ids < 0]).tolist()}
+        count = np.ones(len(ids), np.int64)
+        for s, b in spelled.items():
+            count[ids == s] = len(b)
+        to, of = np.cumsum(count), np.repeat(np.arange(len(size)), size)
+        out = np.repeat(ids, count)
+        for s, b in spelled.items():
+            at = to[ids == s] - len(b)
+            for k, i in enumerate(b):
+                out[at + k] = i
+        return np.bincount(of, count, len(size)).astype(np.int64), out
 
     def decode_all(self, encoded: list[np.ndarray]) -> list[bytes]:
         """Of each text's ids, whatever its segmentation, the text in UTF-8."""
@@ -217,24 +292,38 @@ class Pieces:
         return self.decode_all([ids])[0].decode("utf-8", "surrogatepass")
 
 
-def skipped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
+def _place(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return (start << 42) ^ (middle << 21) ^ end
+
+
+def skipped(key: np.ndarray, place: np.ndarray, dropout: float) -> np.ndarray:
     """Whether the keyed hash skips each candidate merge."""
     if not dropout:
         return np.zeros(len(key), bool)
-    place = (start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
+    place = place.astype(np.uint64)
     return (_mix(_mix(key + place * _M1) ^ place) >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
 
 
+def _skips(key: int, place: int, dropout: float) -> bool:
+    """skipped() of one candidate."""
+    x = (key + place * int(_M1)) & _ALL
+    for last in (place, 0):
+        x = ((x ^ x >> 30) * int(_M2)) & _ALL
+        x = ((x ^ x >> 27) * int(_M3)) & _ALL
+        x ^= x >> 31 ^ last
+    return (x >> 11) * 2.0**-53 < dropout
+
+
 @lru_cache(maxsize=1)
 def model(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], path: str, seed: int, dropout: float, variants: int) -> Iterator[pa.RecordBatch]:
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, seed: int, dropout: float) -> Iterator[pa.RecordBatch]:
     pieces = model(path)
     for batch in batches:
         texts, docs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        ids = pieces.encode_all(texts, docs, seed, dropout, variants)
+        ids = pieces.encode_all(texts, docs, seed, dropout)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if t is None else i for t, i in zip(texts, ids, strict=True)], pa.list_(pa.int32()))], names=[batch.schema.names[0], "ids"])
 
 
@@ -246,7 +335,7 @@ def _path(path: str | None) -> str:
     return path
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
     """key and ids (array of int): each text's pieces under merge-dropout; null for a null text, empty for an empty one.
 
     Rows of equal key and text get equal ids. Other columns are ignored.
@@ -255,7 +344,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     p = _path(path)
     rows = docs.select(F.col(key), F.col(text).cast("string").alias("__text"), F.xxhash64(F.col(key)).alias("__doc"))
     kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(lambda it: _encoded(it, p, seed, dropout, variants), f"`{key}` {kind}, ids array<int>")
+    return rows.mapInArrow(lambda it: _encoded(it, p, seed, dropout), f"`{key}` {kind}, ids array<int>")
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -290,12 +379,12 @@ def _joined(batches: Iterator[pa.RecordBatch], least: int = 12 << 20) -> Iterato
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _digests(batches: Iterator[pa.RecordBatch], path: str, seed: int, dropout: float, variants: int) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch], path: str, seed: int, dropout: float) -> Iterator[pa.RecordBatch]:
     """Encodes, and decodes again, without keeping the ids."""
     pieces = model(path)
     for batch in _joined(batches):
         texts, docs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        ids = pieces.encode_all(texts, docs, seed, dropout, variants)
+        ids = pieces.encode_all(texts, docs, seed, dropout)
         back = pieces.decode_all(ids)
         yield pa.RecordBatch.from_arrays(
             [
@@ -314,4 +403,4 @@ def query(spark, sf_dir: str) -> DataFrame:
     ship(spark)
     p = _path(None)
     rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("doc_id").alias("__doc"))
-    return rows.mapInArrow(lambda it: _digests(it, p, SEED, DROPOUT, VARIANTS), "doc_id bigint, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string, lossless boolean")
+    return rows.mapInArrow(lambda it: _digests(it, p, SEED, DROPOUT), "doc_id bigint, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string, lossless boolean")

@@ -172,3 +172,23 @@ def test_html():
     tree = html_text.parse(page)
     chosen = html_text.choose(tree, np.random.default_rng(1).normal(size=len(tree.tags)))
     assert all(p < 0 or not c or chosen[p] for c, p in zip(chosen, tree.parents, strict=True))
+
+
+def test_pieces_are_drawn_for_each_place():
+    import public_tokenizers
+
+    model = pieces.model(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["international of " * 2000, text(5, 400) + " 日本 ▁y ab😀cd " + "internationalisation" * 3 + " counterrevolutionaries"] * 2
+    got = model.encode_all(texts, [7, 8, 9, 8], dropout=0.1)
+    assert got[1].tolist() == got[3].tolist() and got[0].tolist() != got[2].tolist()
+    for k, d in ((0, 7), (1, 8), (2, 9)):  # each place by the plain form of the method, under its own key
+        want = []
+        for p, w in enumerate(pieces._WORD.findall(" " + texts[k])):
+            key = pieces._mix(pieces._mix(np.array([d + pieces.SEED], np.uint64)) + np.array([p], np.uint64) * pieces._M1)
+            ids = model.agenda(model.symbols([w]).tolist(), int(key[0]), 0.1)
+            want += [i for s in ids for i in ([s] if s >= 0 else [model.bytes[b] for b in chr(-2 - s).encode()])]
+        assert got[k].tolist() == want
+    of = np.array([len(i) for i in (model.encode_all(["x of"], [d])[0] for d in range(2000))])  # one pair of merges leads to " of"
+    assert 0.1 < (of > of.min()).mean() < 0.45
+    forms = Counter(tuple(model.encode_all(["international"], [d], dropout=0.1)[0].tolist()) for d in range(300))
+    assert len(forms) > 4
