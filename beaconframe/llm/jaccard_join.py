@@ -76,12 +76,17 @@ def _set_key(s: np.ndarray) -> str:
     return hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest()
 
 
+def _text_key(text: str | None) -> str:
+    return "" if text is None else hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _Hashes()
     for batch in batches:
-        sets = [shingles(t, hashes) for t in batch.column(1).to_pylist()]
+        texts = batch.column(1).to_pylist()
+        sets = [shingles(t, hashes) for t in texts]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([_set_key(s) for s in sets]), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.list_(pa.int32()))],
+            [batch.column(0), pa.array([_set_key(s) if len(s) else _text_key(t) for s, t in zip(sets, texts, strict=True)], pa.string()), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.list_(pa.int32()))],
             names=[batch.schema.names[0], "set_key", "n", "sketch"],
         )
 
@@ -259,15 +264,8 @@ def _bins(component: Column, size: Column, rid: Column) -> Column:
     return F.when(size <= 2 * BLOCK, F.array(F.concat_ws(":", component, F.lit(0), F.lit(0), F.lit(1)))).otherwise(F.transform(F.sequence(F.lit(0), blocks - 1), name))
 
 
-def similarity_join(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """One row per document: key, class_id, n_links.
-
-    class_id is the least key among all documents that links of `similarity` or more connect
-    to it; n_links is the number of other documents that similar to it, equal ones too.
-    Null, empty and wordless texts link to nothing and are classes of their own. Repeated
-    rows are documents of their own; rows with a null key take part, and a class of null
-    keys alone has a null class_id. Other columns are ignored; no rows give no rows.
-    """
+def _classes(docs: DataFrame, key: str, text: str, similarity: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """key, class_id, n_links of the documents with words; key and set_key (by the text itself) of those without."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(key), F.col(text).cast("string").alias("__text"))
@@ -295,13 +293,30 @@ def similarity_join(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     names = labelled.groupBy("least").agg(F.min("first").alias("class_id"))
     per_class = labelled.join(names, "least").select("set_key", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     worded = sets.where("n > 0").select(F.col(key), "set_key").join(per_class, "set_key").select(F.col(key), "class_id", "n_links")
-    wordless = sets.where("n = 0").select(F.col(key), F.col(key).alias("class_id"), F.lit(0).cast("bigint").alias("n_links"))
-    return worded.unionByName(wordless)
+    return worded, sets.where("n = 0").select(F.col(key), "set_key")
+
+
+def similarity_join(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """One row per document: key, class_id, n_links.
+
+    class_id is the least key among all documents that links of `similarity` or more connect
+    to it; n_links is the number of other documents that similar to it, equal ones too.
+    Null, empty and wordless texts link to nothing and are classes of their own. Repeated
+    rows are documents of their own; rows with a null key take part, and a class of null
+    keys alone has a null class_id. Other columns are ignored; no rows give no rows.
+    """
+    worded, wordless = _classes(docs, key, text, similarity, recall)
+    return worded.unionByName(wordless.select(F.col(key), F.col(key).alias("class_id"), F.lit(0).cast("bigint").alias("n_links")))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, whose key names their class: one document of each group of near copies."""
-    stay = similarity_join(docs, key, text).where(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("__stays")).distinct()
+    """The rows of docs, with all their columns, whose key names their class: one document of each group of near copies.
+
+    Of equal texts without words the one of the least key stays too.
+    """
+    worded, wordless = _classes(docs, key, text, SIMILARITY, RECALL)
+    named = worded.where(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("__stays"))
+    stay = named.unionByName(wordless.groupBy("set_key").agg(F.min(key).alias("__stays")).select("__stays")).distinct()
     return docs.join(stay, docs[key].eqNullSafe(F.col("__stays")), "left_semi")
 
 

@@ -22,11 +22,16 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def boilerplate_lines(docs: DataFrame, site: Column, text: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """site, line_hash, pages, site_pages of each line that more than `ratio` of a site's pages contain."""
-    pages = docs.groupBy(site.alias("site")).agg(F.count(F.lit(1)).alias("site_pages"))
+def boilerplate_lines(docs: DataFrame, site: Column, text: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
+    """site, line_hash, pages, site_pages of each line that more than `ratio` of a site's pages contain.
+
+    With copies_once, a site's pages of equal text are one page.
+    """
+    page = [F.xxhash64(text).alias("page")] if copies_once else []
+    once = (lambda d: d.distinct()) if copies_once else (lambda d: d)
+    pages = once(docs.select(site.alias("site"), *page)).groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
     distinct = F.array_distinct(F.transform(F.filter(_lines(text), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(F.trim(x))))
-    counted = docs.select(site.alias("site"), F.explode(distinct).alias("line_hash")).groupBy("site", "line_hash").agg(F.count(F.lit(1)).alias("pages"))
+    counted = once(docs.select(site.alias("site"), *page, F.explode(distinct).alias("line_hash"))).groupBy("site", "line_hash").agg(F.count(F.lit(1)).alias("pages"))
     frequent = counted.where(F.col("pages") >= min_pages).alias("f")
     return (
         frequent.join(pages.alias("p"), F.col("f.site").eqNullSafe(F.col("p.site")))
@@ -35,15 +40,15 @@ def boilerplate_lines(docs: DataFrame, site: Column, text: Column, ratio: float
     )
 
 
-def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """docs with boilerplate lines gone from `text`, and columns n_lines and n_dropped before it.
 
     Lines are compared after trimming spaces; blank lines are never boilerplate. A null
     text stays null with no lines; a text of boilerplate alone becomes empty. Rows with a
-    null site form one site. Repeated rows count as pages of their own. n_lines and
+    null site form one site. Copies count as pages of their own, or with copies_once as one page. n_lines and
     n_dropped replace columns of those names; all other columns are carried.
     """
-    found = cut(boilerplate_lines(docs, F.col(site), F.col(text), ratio, min_pages))
+    found = cut(boilerplate_lines(docs, F.col(site), F.col(text), ratio, min_pages, copies_once))
     per_site = found.groupBy("site").agg(F.collect_set("line_hash").alias("__drop")).withColumnRenamed("site", "__site")
     if found.count() <= BROADCAST_LINES:
         per_site = F.broadcast(per_site)
@@ -60,10 +65,13 @@ def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text",
 
 
 def without_boilerplate(docs: DataFrame, site: str = "source", text: str = "text", chars: str = "n_chars") -> DataFrame:
-    """docs with the same columns: boilerplate lines are gone from `text`, and `chars` is its new length in code points."""
+    """docs with the same columns: boilerplate lines are gone from `text`, and `chars` is its new length in code points.
+
+    A site's pages of equal text count once, so that a text of many copies is not taken for boilerplate.
+    """
     counted = [c for c in ("n_lines", "n_dropped") if c in docs.columns]
     safe = docs.withColumnsRenamed({c: f"__{c}" for c in counted})
-    out = drop_boilerplate(safe, site, text).drop("n_lines", "n_dropped").withColumnsRenamed({f"__{c}": c for c in counted})
+    out = drop_boilerplate(safe, site, text, copies_once=True).drop("n_lines", "n_dropped").withColumnsRenamed({f"__{c}": c for c in counted})
     return out.withColumn(chars, F.length(text).cast("bigint")) if chars in docs.columns else out
 
 

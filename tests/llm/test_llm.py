@@ -192,3 +192,28 @@ def test_pieces_are_drawn_for_each_place():
     assert 0.1 < (of > of.min()).mean() < 0.45
     forms = Counter(tuple(model.encode_all(["international"], [d], dropout=0.1)[0].tolist()) for d in range(300))
     assert len(forms) > 4
+
+
+def test_pipeline_keeps_one_of_a_hot_copy_group(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    hot = "\n".join(text(900 + k, 40) for k in range(3))
+    rows = [(k, hot, "a") for k in range(30)] + [(k, f"Menu\n{text(k)}", "a") for k in range(30, 70)] + [(k, "Menu" + "\n" * (k % 3), "a") for k in range(70, 90)]
+    rows += [(k, ["", None, "--"][k % 3], "b") for k in range(90, 99)]
+    spark.createDataFrame([(d, t, "en", s, len(t or "")) for d, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {}
+    for d, t, s in rows:
+        pages = {u for _, u, v in rows if v == s}
+        count = Counter(x for u in pages if u for x in {y.strip(" ") for y in u.split("\n")} if x)
+        drop = {x for x, n in count.items() if n >= 5 and n > 0.1 * len(pages)}
+        kept.setdefault(t if t is None else "\n".join(x for x in t.split("\n") if x.strip(" ") not in drop), d)  # the texts differ or are equal
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {d: len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for t, d in kept.items()}
+    got = Counter()
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got[r.doc_id] += r.length
+    assert got == want and 0 in got and hot in kept
