@@ -30,7 +30,7 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math noframes xmp".split())
 #: Elements whose text is never shown as text of the page.
-UNSEEN = frozenset("head script style textarea title noscript template iframe svg math noframes xmp select option datalist object audio video canvas".split())
+UNSEEN = frozenset("head script style textarea title noscript template iframe svg noframes select option datalist object audio video canvas".split())
 BLOCK = frozenset("html body address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 #: What an opening tag closes, up to the nearest element that bounds it.
 _CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table tbody thead tfoot"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"), "tbody": ("tbody thead tfoot tr td th", "table")}
@@ -162,8 +162,13 @@ def parse(source: str) -> Page:
             while (d := find(names, stop)) >= 0:
                 pop_to(d)
         begin(tag, m[3])
-        if tag in RAW:
+        if tag in RAW and not (tag in ("svg", "math") and m[3].rstrip().endswith("/")):
             e = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
+            inner = source[at : e.start()] if e else source[at:]
+            if tag == "math":  # a formula is one text
+                text(_TOKEN.sub("", inner))
+            elif tag == "xmp":
+                text(inner.replace("&", "&amp;"))
             at = e.end() if e else n
             pop_to(len(stack) - 1)
         elif m[3].rstrip().endswith("/") and tag not in BLOCK:

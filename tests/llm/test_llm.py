@@ -217,3 +217,13 @@ def test_pipeline_keeps_one_of_a_hot_copy_group(spark, tmp_path):
     for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
         got[r.doc_id] += r.length
     assert got == want and 0 in got and hot in kept
+
+
+def test_html_keeps_text_after_empty_svg_and_of_math_and_xmp():
+    model = html_text.trained()
+    page = "<html><body><nav class=menu>%s<a href=/>Home</a> <a href=/b>News</a></nav><article><h1>A title</h1><p>First &amp; long paragraph, with words%s.<p>Second one here, with more words.%s</article><div class=ad>Buy it now.</div><footer>&copy; all rights</footer>"
+    want = "A title\n\nFirst & long paragraph, with words%s.\n\nSecond one here, with more words."
+    assert html_text.extract([page % ("<svg width='9'/>", "", ""), page % ("<svg/><math />", "", "<svg><text>no</text></svg>")], model) == [want % ""] * 2
+    assert html_text.extract([page % ("", " <math><mi>x</mi><mo>+</mo><mi>y</mi></math>", "")], model) == [want % " x+y"]
+    (got,) = html_text.extract([page % ("", "", "<xmp>a <b> &amp; c</xmp>")], model)
+    assert got.startswith(want % "") and "a <b> &amp; c" in got
