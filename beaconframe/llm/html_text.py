@@ -21,9 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beaconframe.llm.naming import carried, unused
 from beaconframe.session import ship, table
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(>|\Z)", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[\"'>]")
+_MARKUP = re.compile(r"<[^>]*>")
+#: Deeper elements are not told apart from the one they lie in.
+DEEPEST = 512
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -32,6 +37,9 @@ RAW = frozenset("script style textarea title noscript template iframe svg math n
 #: Elements whose text is never shown as text of the page.
 UNSEEN = frozenset("head script style textarea title noscript template iframe svg noframes select option datalist object audio video canvas".split())
 BLOCK = frozenset("html body address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
+#: Parts of forms, which are not of the text wherever they lie unless the trees say so.
+CONTROLS = frozenset("button label input fieldset form select".split())
+_END = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in RAW}
 #: What an opening tag closes, up to the nearest element that bounds it.
 _CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table tbody thead tfoot"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"), "tbody": ("tbody thead tfoot tr td th", "table")}
 _CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in _CLOSES.items()}
@@ -74,8 +82,12 @@ class Page:
         self.events: list[tuple[int, str | None]] = []
 
 
-@lru_cache(maxsize=20_000)
 def _attributes(text: str) -> tuple[int, int]:
+    return _few_attributes(text) if len(text) <= 400 else _few_attributes.__wrapped__(text)
+
+
+@lru_cache(maxsize=20_000)
+def _few_attributes(text: str) -> tuple[int, int]:
     """Families of the tokens of class, id, role and item properties; the mark of training pages (0 unknown, 1 drop, 2 keep)."""
     flags = gold = 0
     for name, *values in _ATTR.findall(text):
@@ -88,12 +100,57 @@ def _attributes(text: str) -> tuple[int, int]:
     return flags, gold
 
 
+def _tag_end(source: str, at: int) -> int:
+    """Where the tag whose name ends at `at` has its `>`, quoted ones left out; -1 if the page ends before. A quote that is never closed ends the tag at the next `>`."""
+    while m := _STOP.search(source, at):
+        if m[0] == ">":
+            return m.start()
+        close = source.find(m[0], m.end())
+        if close < 0:
+            return source.find(">", m.end())
+        at = close + 1
+    return -1
+
+
+def tokens(source: str) -> Iterator[tuple[str, str, str, int]]:
+    """(kind, name, attributes or text, end) of each piece in order: kind is text, open or close. What is skipped is told by send(place). Each character is looked at a bounded number of times."""
+    at, n = 0, len(source)
+    while at < n:
+        lt = source.find("<", at)
+        if lt < 0:
+            yield "text", "", source[at:], n
+            return
+        if lt > at:
+            yield "text", "", source[at:lt], lt
+        if source.startswith("<!--", lt):
+            end = source.find("-->", lt + 4)
+            at = n if end < 0 else end + 3
+        elif source.startswith(("<!", "<?"), lt):
+            end = source.find(">", lt)
+            at = n if end < 0 else end + 1
+        elif m := _NAME.match(source, lt):
+            end = _tag_end(source, m.end())
+            if end < 0:
+                return  # a tag that the page's end cuts off
+            close = source[lt + 1] == "/"
+            skip = yield "close" if close else "open", m[1].lower(), source[m.end() : end], end + 1
+            at = end + 1
+            if skip is not None:
+                at = skip
+                yield "", "", "", at
+        else:
+            yield "text", "", "<", lt + 1
+            at = lt + 1
+
+
 def parse(source: str) -> Page:
-    """The element tree of any text, with the usual repairs: implied ends of p, li and cells, stray and missing end tags."""
+    """The element tree of any text, with the usual repairs: implied ends of p, li and cells, stray and missing end tags. Time is linear in the text."""
     page = Page()
     tags, parents, events = page.tags, page.parents, page.events
     stack: list[int] = []
-    at, n = 0, len(source)
+    count: dict[str, int] = {}
+    unopened: dict[str, int] = {}
+    n = len(source)
 
     def text(s: str) -> None:
         if s and stack:
@@ -110,16 +167,20 @@ def parse(source: str) -> Page:
         page.flags.append(flags)
         page.gold.append(gold)
         stack.append(k)
+        count[tag] = count.get(tag, 0) + 1
         if tag in BLOCK:
             events.append((k, None))
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
             k = stack.pop()
+            count[tags[k]] -= 1
             if tags[k] in BLOCK:
                 events.append((k, None))
 
     def find(names: frozenset[str] | set[str], stop: frozenset[str]) -> int:
+        if not any(count.get(t) for t in names):
+            return -1
         for d in range(len(stack) - 1, -1, -1):
             t = tags[stack[d]]
             if t in names:
@@ -128,20 +189,16 @@ def parse(source: str) -> Page:
                 return -1
         return -1
 
-    while at < n:
-        m = _TOKEN.search(source, at)
-        if m is None:
-            text(source[at:])
-            break
-        if m.start() > at:
-            text(source[at : m.start()])
-        at = m.end()
-        if m[2] is None or not m[4]:
-            continue  # a comment or declaration, or a tag that the page's end cuts off
-        tag = m[2].lower()
-        if m[1]:
+    pieces = tokens(source)
+    for kind, tag, inside, at in pieces:
+        if kind == "text":
+            text(inside)
+            continue
+        if kind == "close":
             if tag == "br":
                 text("\n")
+            elif unopened.get(tag):
+                unopened[tag] -= 1
             elif (d := find({tag}, frozenset())) >= 0 and not (d == 0 and tag in ("html", "body")):
                 pop_to(d)
             continue
@@ -151,7 +208,7 @@ def parse(source: str) -> Page:
             if tag == "hr" and stack:
                 events.append((stack[-1], None))
             continue
-        if tag in ("html", "body") and tag in (tags[k] for k in stack):
+        if tag in ("html", "body") and count.get(tag):
             continue
         if tag == "body" and (d := find({"head"}, frozenset())) >= 0:
             pop_to(d)
@@ -161,22 +218,41 @@ def parse(source: str) -> Page:
             names, stop = _CLOSES[tag]
             while (d := find(names, stop)) >= 0:
                 pop_to(d)
-        begin(tag, m[3])
-        if tag in RAW and not (tag in ("svg", "math") and m[3].rstrip().endswith("/")):
-            e = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
+        empty = inside.rstrip().endswith("/")
+        if tag in RAW and not (tag in ("svg", "math") and empty):
+            e = _END[tag].search(source, at)
             inner = source[at : e.start()] if e else source[at:]
+            begin(tag, inside)
             if tag == "math":  # a formula is one text
-                text(_TOKEN.sub("", inner))
+                text(_MARKUP.sub("", inner))
             elif tag == "xmp":
                 text(inner.replace("&", "&amp;"))
-            at = e.end() if e else n
             pop_to(len(stack) - 1)
-        elif m[3].rstrip().endswith("/") and tag not in BLOCK:
+            pieces.send(e.end() if e else n)
+        elif empty and tag not in BLOCK:
+            begin(tag, inside)
             pop_to(len(stack) - 1)
+        elif len(stack) >= DEEPEST:
+            unopened[tag] = unopened.get(tag, 0) + 1
+            if tag in BLOCK:
+                events.append((stack[-1], None))
+        else:
+            begin(tag, inside)
     pop_to(0)
     return page
 
 
+def followers(page: Page) -> list[bool]:
+    """Whether each element is inline, with no block within it: it goes with the element that it lies in."""
+    n = len(page.tags)
+    inline = [t not in BLOCK and t not in UNSEEN and t not in CONTROLS and page.parents[k] >= 0 for k, t in enumerate(page.tags)]
+    for k in range(n - 1, -1, -1):
+        p = page.parents[k]
+        if p >= 0 and not inline[k] and page.tags[k] not in UNSEEN and page.tags[k] not in CONTROLS:
+            inline[p] = False
+    return inline
+
+
 def features(page: Page) -> np.ndarray:
     """A row for each element."""
     n = len(page.tags)
@@ -312,20 +388,22 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 45, depth: int = 4, rate: f
 
 
 def choose(page: Page, logits: np.ndarray) -> list[bool]:
-    """The likeliest keep-or-drop of all elements in which nothing below a dropped element is kept."""
+    """The likeliest keep-or-drop of all elements in which nothing below a dropped element is kept and inline elements go with theirs."""
     n = len(page.tags)
+    follows = followers(page)
+    logits = np.where(follows, 0.0, logits)
     keep, drop = (-np.logaddexp(0, -logits)).tolist(), (-np.logaddexp(0, logits)).tolist()
     for k in range(n - 1, -1, -1):  # children before parents: best and all-dropped sums gather in keep and drop
         if page.tags[k] in UNSEEN:
             keep[k] = -1e18
         p = page.parents[k]
         if p >= 0:
-            keep[p] += max(keep[k], drop[k])
+            keep[p] += keep[k] if follows[k] else max(keep[k], drop[k])
             drop[p] += drop[k]
     chosen = [False] * n
     for k in range(n):
         p = page.parents[k]
-        chosen[k] = (p < 0 or chosen[p]) and keep[k] > drop[k]
+        chosen[k] = chosen[p] if follows[k] else (p < 0 or chosen[p]) and keep[k] > drop[k]
     return chosen
 
 
@@ -374,6 +452,10 @@ def training_pages(n: int, seed: int = 5) -> Iterator[str]:
     prose = lambda a, b: " ".join(sentence() for _ in range(rng.integers(a, b)))
     noise = lambda: pick("", "", " ", "\n", "\n  ")
 
+    def code() -> str:
+        lines = "\n".join(f"{pick('', '    ', '        ')}{word()}{pick(' = ', '(', ' += ', ': ')}{word()}{pick(')', ';', '', ' # ' + words(1, 4))}" for _ in range(rng.integers(1, 12)))
+        return pick(prose(1, 4), lines, f"<code>{lines}</code>")
+
     def attr(family: str | None, gold: int) -> str:
         names = FAMILIES[family].split() if family and chance(0.75) else [word() for _ in range(3)]
         made = [pick("{}", "{}", "{}-wrap", "site-{}", "{}__inner", "{}-box", "js-{}", "main-{}" if family == "content" else "{}-1").format(pick(*names)) for _ in range(rng.integers(1, 3))]
@@ -381,7 +463,7 @@ def training_pages(n: int, seed: int = 5) -> Iterator[str]:
         return f' data-gold="{gold}"' + (f' {kind}="{" ".join(made)}"' if family or chance(0.4) else "")
 
     def paragraph(gold: int, long: float = 0.7) -> str:
-        body = prose(1, 9) if chance(long) else prose(1, 3)
+        body = f"{words(1, 5).capitalize()}." if gold and chance(0.15) else prose(1, 9) if chance(long) else prose(1, 3)
         if chance(0.25):
             body = f'<{(t := pick("b", "i", "em", "strong", "span"))} data-gold="{gold}">{sentence()}</{t}> ' + body
         if chance(0.15):
@@ -421,8 +503,8 @@ def training_pages(n: int, seed: int = 5) -> Iterator[str]:
         parts = []
         if chance(0.8):
             parts.append(f'<h1 data-gold="1">{words(2, 12)}</h1>')
-        for _ in range(int(rng.integers(1, 14)) if chance(0.85) else 1):
-            parts.append(paragraph(1) if chance(0.86) else {"h": lambda: f'<h2 data-gold="1">{words(1, 7)}</h2>', "l": lambda: '<ul data-gold="1">' + "".join(f'<li data-gold="1">{sentence()}</li>' for _ in range(rng.integers(2, 7))) + "</ul>", "q": lambda: f'<blockquote data-gold="1"><p data-gold="1">{prose(1, 4)}</p></blockquote>', "d": lambda: f'<div data-gold="1">{prose(1, 6)}</div>', "t": lambda: f'<table data-gold="1"><tr data-gold="1"><td data-gold="1">{words(1, 5)}</td><td data-gold="1">{words(1, 5)}</td></tr></table>', "p": lambda: f'<pre data-gold="1">{prose(1, 4)}</pre>'}[pick("h", "l", "q", "d", "t", "p")]())
+        for _ in range(int(rng.integers(1, 14)) if chance(0.75) else 1):
+            parts.append(paragraph(1) if chance(0.86) else {"h": lambda: f'<h2 data-gold="1">{words(1, 7)}</h2>', "l": lambda: '<ul data-gold="1">' + "".join(f'<li data-gold="1">{sentence()}</li>' for _ in range(rng.integers(2, 7))) + "</ul>", "q": lambda: f'<blockquote data-gold="1"><p data-gold="1">{prose(1, 4)}</p></blockquote>', "d": lambda: f'<div data-gold="1">{prose(1, 6)}</div>', "t": lambda: f'<table data-gold="1"><tr data-gold="1"><td data-gold="1">{words(1, 5)}</td><td data-gold="1">{words(1, 5)}</td></tr></table>', "p": lambda: f'<pre data-gold="1">{code()}</pre>', "f": lambda: f'<figure data-gold="1"><img src="x.png"><figcaption data-gold="1">{sentence()}</figcaption></figure>'}[pick("h", "l", "q", "d", "t", "p", "p", "f")]())
         if chance(0.35):
             parts.insert(int(rng.integers(len(parts) + 1)), junk())
         main = box(pick("article", "article", "article", "div", "div", "main", "section", "td"), "content" if chance(0.75) else None, noise().join(parts), 1)
@@ -442,7 +524,7 @@ def trained(pages: int = 500) -> Boosted:
     for source in training_pages(pages):
         page = parse(source)
         rows, gold = features(page), np.array(page.gold)
-        known = (gold > 0) & np.array([t not in UNSEEN for t in page.tags])
+        known = (gold > 0) & np.array([t not in UNSEEN and not f for t, f in zip(page.tags, followers(page), strict=True)])
         x.append(rows[known])
         y.append(gold[known] - 1.0)
     return boost(np.concatenate(x), np.concatenate(y))
@@ -462,14 +544,17 @@ def main_text(pages: DataFrame, carry: list[str], html: str = "html", model: Boo
 
     Blocks are joined by two line feeds, white space within a block is one space. A null
     or empty page, and one without main text, gives an empty text. Rows are kept as they
-    are; other columns are ignored.
+    are; other columns are ignored, and carried ones named like the two made ones. No rows
+    give no rows.
     """
     ship(pages.sparkSession)
     fitted = model or trained()
-    rows = pages.select(*carry, F.col(html).cast("string").alias("__html"))
-    carried = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in carry)
-    return rows.mapInArrow(lambda it: _extracted(it, fitted, carry), f"{carried}text string, n_chars bigint")
+    kept = carried(carry, ("text", "n_chars"))
+    rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(html).cast("string").alias(unused(kept, "html")))
+    declared = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in kept)
+    return rows.mapInArrow(lambda it: _extracted(it, fitted, kept), f"{declared}text string, n_chars bigint")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """op8: the main text of `pages`, whole table and whole pages."""
     return main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
