@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconframe.llm.labelled import held_out, sample
+from beaconframe.llm.naming import carried, unused
 from beaconframe.session import ship, table
 
 HASH_BITS = 20
@@ -32,7 +33,7 @@ _LOWER, _UPPER, _DIGIT, _SAME = re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"[A
 
 def shape(word: str) -> str:
     """Runs of lower-case letters as x, of upper-case ones as X, of digits as 9, of equal marks as one."""
-    return _SAME.sub(r"\1", _DIGIT.sub("9", _UPPER.sub("X", _LOWER.sub("x", word))))[:12]
+    return _SAME.sub(r"\1", _DIGIT.sub("9", _UPPER.sub("X", _LOWER.sub("x", word))))
 
 
 class _Hashes(dict):
@@ -146,13 +147,18 @@ def _scored(batches: Iterator[pa.RecordBatch], level) -> Iterator[pa.RecordBatch
 
 
 def score(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -> DataFrame:
-    """The columns `carry` and score: the probability of good quality. A null text counts as empty; rows are kept as they are."""
+    """The columns `carry` and score: the probability of good quality.
+
+    A null text counts as empty, which scores like any other text. Rows are kept as they
+    are, repeated ones too; a carried column named score gives way to it. No rows give no rows.
+    """
     spark = docs.sparkSession
     ship(spark)
     level = spark.sparkContext.broadcast(model)  # 8 MiB
-    rows = docs.select(*carry, F.col(text).cast("string").alias("__text"))
-    carried = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in carry)
-    return rows.mapInArrow(lambda it: _scored(it, level), f"{carried}score double")
+    kept = carried(carry, ["score"])
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(unused(kept, "text")))
+    declared = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in kept)
+    return rows.mapInArrow(lambda it: _scored(it, level), f"{declared}score double")
 
 
 def _kept(batches: Iterator[pa.RecordBatch], level, at: int, threshold: float) -> Iterator[pa.RecordBatch]:
@@ -162,7 +168,10 @@ def _kept(batches: Iterator[pa.RecordBatch], level, at: int, threshold: float) -
 
 
 def keep_good(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with all their columns, whose score reaches the threshold."""
+    """The rows of docs, with all their columns, whose score reaches the threshold.
+
+    A null text counts as empty; repeated rows stay or go together. No rows give no rows.
+    """
     ship(docs.sparkSession)
     level = docs.sparkSession.sparkContext.broadcast(model)  # 8 MiB
     at = docs.columns.index(text)
@@ -174,6 +183,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """op2: quality scores of `documents`, whole table and whole texts, by a model of the labels that aren't held out."""
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")), ["doc_id"])
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

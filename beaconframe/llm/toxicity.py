@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconframe.llm.labelled import held_out, sample
+from beaconframe.llm.naming import carried, unused
 from beaconframe.session import ship, table
 
 _TOKEN = re.compile(r"[^\W_]+|[.!?\n]")
@@ -109,16 +110,20 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     number = np.cumsum(chosen) - 1
     index = {f: int(number[i]) for f, i in features.items() if chosen[i]}
     selected = [[int(number[f]) for f in fs if chosen[f]] for fs in of_word]
-    feature, sentence, of = [], [], []
+    width = np.array([len(fs) for fs in selected], int)
+    flat, first = np.array([i for fs in selected for i in fs], int), np.cumsum(width) - width
+    parts, sentences = [[], [], []], 0
     for d, bag in enumerate(bags):
-        ends = np.cumsum(bag < 0)
-        for s in np.unique(ends[bag >= 0]).tolist():
-            for k in bag[(ends == s) & (bag >= 0)].tolist():
-                for i in selected[k]:
-                    feature.append(i)
-                    sentence.append(len(of))
-            of.append(d)
-    feature, sentence, of = np.array(feature, int), np.array(sentence, int), np.array(of, int)
+        words = bag >= 0
+        kept, at = np.unique(np.cumsum(~words)[words], return_inverse=True)
+        k = bag[words]
+        many = width[k]
+        ends_ = np.cumsum(many)
+        parts[0].append(flat[np.repeat(first[k] - (ends_ - many), many) + np.arange(ends_[-1] if len(ends_) else 0)])
+        parts[1].append(np.repeat(at + sentences, many))
+        parts[2].append(np.full(len(kept), d))
+        sentences += len(kept)
+    feature, sentence, of = (np.concatenate(p).astype(int) for p in parts)
     w, bias = np.zeros(len(index)), START
     m, v = np.zeros(len(index) + 1), np.zeros(len(index) + 1)
     for step in range(1, STEPS + 1):
@@ -159,14 +164,16 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model, schema: pa.Schema)
 def score(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -> DataFrame:
     """The columns `carry`, score (0 to 1) and offending (array of start, end, score; empty below 0.5).
 
-    A null text counts as empty; a text without words scores 0. Rows are kept as they are, repeated ones too.
+    A null text counts as empty; a text without words scores 0. Rows are kept as they are,
+    repeated ones too; carried columns named like the two made ones give way. No rows give no rows.
     """
     ship(docs.sparkSession)
-    rows = docs.select(*carry, F.col(text).cast("string").alias("__text"))
+    kept = carried(carry, ("score", "offending"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(unused(kept, "text")))
     added = "score double, offending array<struct<start: bigint, end: bigint, score: double>>"
     schema = pa.schema([("score", pa.float64()), ("offending", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))])
-    carried = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carry)
-    return rows.mapInArrow(lambda it: _scored(it, model, schema), f"{carried}, {added}" if carry else added)
+    declared = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in kept)
+    return rows.mapInArrow(lambda it: _scored(it, model, schema), declared + added)
 
 
 def _kept(batches: Iterator[pa.RecordBatch], model: Model, at: int, threshold: float) -> Iterator[pa.RecordBatch]:
@@ -176,7 +183,10 @@ def _kept(batches: Iterator[pa.RecordBatch], model: Model, at: int, threshold: f
 
 
 def reject_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of docs, with all their columns, whose score is below the threshold."""
+    """The rows of docs, with all their columns, whose score is below the threshold.
+
+    Null and empty texts score 0 and stay; repeated rows stay or go together. No rows give no rows.
+    """
     ship(docs.sparkSession)
     at = docs.columns.index(text)
     return docs.mapInArrow(lambda it: _kept(it, model, at, threshold), docs.schema)
@@ -187,6 +197,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """op1: toxicity scores of `documents`, whole table and whole texts, by a model of the labels that aren't held out."""
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")), ["doc_id"])
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
