@@ -4,7 +4,9 @@ Pass 1 turns each text into a SHA-256 and builds a two-level Bloom filter: a slo
 is *seen* after one document and *repeated* after a second one that hits the same
 slots. Pass 2 checks each digest against the *repeated* level: only documents that
 may have an equal are shuffled; all others pass straight through. A false positive
-only shuffles a row in vain, so the result is exact at every filter size.
+only shuffles a row in vain, so the result is exact at every filter size. What is shuffled
+are ids and digests, never texts. The filter's size follows the input up to a bound
+(`max_slots`), as it has to fit each worker; `false_share` says what that costs beyond it.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 from beaconframe.session import cut, ship
 
 #: Slots per level of the filter: 16 per row, within these bounds. The broadcast
-#: level is MAX_SLOTS / 8 = 32 MiB at most, whatever the input's size.
-SLOTS_PER_ROW, MIN_SLOTS, MAX_SLOTS = 16, 1 << 16, 1 << 28
+#: level is MAX_SLOTS / 8 = 64 MiB at most, whatever the input's size.
+SLOTS_PER_ROW, MIN_SLOTS, MAX_SLOTS = 16, 1 << 16, 1 << 29
+#: Hashes of a task that are turned into filter blocks at once.
+HASHES = 1 << 20
 #: Slots per hash; they lie in one block, so that blocks can be merged apart.
 PROBES, BLOCK_SLOTS = 4, 1 << 16
 
@@ -53,12 +57,27 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return rows.mapInArrow(lambda it: _digest_batches(it, key), f"`{key}` {kind}, text_sha256 string, hash bigint")
 
 
+def false_share(rows: int, max_slots: int = MAX_SLOTS) -> float:
+    """Share of the distinct texts among `rows` that the filter takes for repeated ones, and so are shuffled in vain."""
+    x = PROBES * rows / max(MIN_SLOTS, min(max_slots, rows * SLOTS_PER_ROW))
+    return float((1 - np.exp(-x)) ** PROBES)  # each of its slots is hit by another document
+
+
 def _partial(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
     """The filter blocks that this task's hashes touch, each level as sorted slot numbers or as bits, whichever is smaller."""
-    seen: list[np.ndarray] = [b.column(0).to_numpy(zero_copy_only=False) for b in batches]
-    if not seen or not sum(map(len, seen)):
+    seen: list[np.ndarray] = []
+    for batch in batches:
+        seen.append(batch.column(0).to_numpy(zero_copy_only=False))
+        if sum(map(len, seen)) >= HASHES:
+            yield from _touched(np.concatenate(seen), blocks)
+            seen = []
+    if seen:
+        yield from _touched(np.concatenate(seen), blocks)
+
+
+def _touched(hashes: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
+    if not len(hashes):
         return
-    hashes = np.concatenate(seen)
     block, slots = _slots(hashes, blocks)
     order = np.argsort(block, kind="stable")
     block, slots, hashes = block[order], slots[order], hashes[order]
@@ -120,13 +139,13 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _blocks(out)
 
 
-def repeated_filter(hashes: DataFrame, rows: int) -> tuple[int, dict[int, bytes]]:
+def repeated_filter(hashes: DataFrame, rows: int, max_slots: int = MAX_SLOTS) -> tuple[int, dict[int, bytes]]:
     """The repeated level of the Bloom filter over column hash: number of blocks, and each block's bits.
 
-    It has at most MAX_SLOTS bits, so it fits the driver and a broadcast whatever the
+    It has at most max_slots bits, so it fits the driver and a broadcast whatever the
     input's size.
     """
-    blocks = max(MIN_SLOTS, min(MAX_SLOTS, rows * SLOTS_PER_ROW)) // BLOCK_SLOTS
+    blocks = max(MIN_SLOTS, min(max_slots, rows * SLOTS_PER_ROW)) // BLOCK_SLOTS
     partial = hashes.select("hash").mapInArrow(lambda it: _partial(it, blocks), "block bigint, data binary")
     merged = partial.repartition("block").sortWithinPartitions("block").mapInArrow(_merged, "block bigint, data binary")
     return blocks, {r.block: bytes(r.data) for r in merged.toLocalIterator()}
@@ -145,7 +164,7 @@ def _marked(batches: Iterator[pa.RecordBatch], blocks: int, level) -> Iterator[p
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(maybe)], names=[*batch.schema.names, "maybe_repeated"])
 
 
-def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", max_slots: int = MAX_SLOTS) -> DataFrame:
     """One row per document: which document of its group of equal texts stays.
 
     Columns: key, keep_id, group_size (long), kept (boolean), text_sha256. Texts are
@@ -157,7 +176,7 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     spark = docs.sparkSession
     hashed = cut(digests(docs, key, text))
-    blocks, bits = repeated_filter(hashed, hashed.count())
+    blocks, bits = repeated_filter(hashed, hashed.count(), max_slots)
     level = spark.sparkContext.broadcast(bits)
     kind = hashed.schema[key].dataType.simpleString()
     marked = hashed.mapInArrow(lambda it: _marked(it, blocks, level), f"`{key}` {kind}, text_sha256 string, hash bigint, maybe_repeated boolean")
@@ -165,6 +184,7 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     once = marked.where(~F.col("maybe_repeated")).select(id_, id_.alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     maybe = marked.where("maybe_repeated").select(id_, "text_sha256")
     groups = maybe.groupBy("text_sha256").agg(F.max(id_).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = cut(groups)  # with a shuffle of its own below the join, a hot digest can be split there
     several = maybe.join(groups, "text_sha256").select(id_, "keep_id", "group_size", id_.eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return once.unionByName(several)
 

@@ -7,6 +7,7 @@ from beaconframe.session import table
 
 
 def exact_dedup(spark, sf_dir: str):
+    """op5: which of equal texts stays, for each row of `documents`, whole table and whole texts."""
     return dedup_exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
