@@ -5,7 +5,9 @@ The rest is routed to the shortest context-size tier that holds it; every tier i
 packed best-fit, longest first. Gaps of a window are then filled from shorter tiers:
 whole pieces first, and a last piece cut to the gap. What stays over at the end of a
 task is laid end to end and emitted at powers of two, so that it needs no padding.
-Full windows of a tier form step groups of an equal number of tokens.
+Step groups, what is read together in one training step, are balanced: each has the same
+number of tokens, windows of all tiers together, and windows are dealt by their attention
+cost (the sum of the squares of their pieces' lengths), each to the group of least cost.
 
 Each task packs what it reads: no shuffle, so no hot key, and memory is bounded by the
 pool of rests that wait to be packed (POOL_TOKENS) and one Arrow batch. A retried task
@@ -14,6 +16,7 @@ reads the same split and makes the same sequences.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -32,6 +35,8 @@ TIERS = (2048, 1024, 512, 256)
 STEP_TOKENS = 1 << 15
 #: Tokens that wait in a task before they are packed, at most (one batch more).
 POOL_TOKENS = 1 << 22
+#: Step groups that windows are dealt to at a time.
+GROUPS = 64
 END_ID = 1
 
 _ORDINARY_SPECIAL = "<|endoftext|>"
@@ -94,21 +99,48 @@ class Packer:
         self.next, self.first = first, first
         self.waiting: list[_Rest] = []
         self.held = 0
-        self.full = dict.fromkeys(tiers, 0)
+        if step_tokens < tiers[0] or step_tokens & (step_tokens - 1):
+            raise ValueError("step_tokens must be a power of two and hold the longest tier")
+        #: Windows without a step group yet (length, cost, rows), and their tokens.
+        self.open: list[tuple[int, int, list[tuple]]] = []
+        self.open_tokens = self.groups = 0
         self.rows: list[tuple] = []
 
     def _emit(self, pieces: list[_Rest]) -> None:
-        length = sum(len(p.ids) for p in pieces)
-        group = -1
-        if length in self.full:
-            group = self.full[length] * length // self.step_tokens
-            self.full[length] += 1
-        offset = 0
+        length, offset, rows = sum(len(p.ids) for p in pieces), 0, []
         for p in pieces:
             n = len(p.ids)
-            self.rows.append((p.doc, p.start, n, zlib.crc32(p.ids.astype("<u4").tobytes()), p.total, self.next, offset, length, group))
+            rows.append((p.doc, p.start, n, zlib.crc32(p.ids.astype("<u4").tobytes()), p.total, self.next, offset, length))
             offset += n
         self.next += 1
+        self.open.append((length, sum(r[2] ** 2 for r in rows), rows))
+        self.open_tokens += length
+        if self.open_tokens >= GROUPS * self.step_tokens:
+            self._deal(last=False)
+
+    def _deal(self, last: bool) -> None:
+        """Windows to as many whole step groups as they fill; the last ones of a task, of fewer tokens, are a group too.
+
+        Longest first, dearest first: lengths are powers of two, so a group either has room for the next window or is full.
+        """
+        whole = self.open_tokens // self.step_tokens
+        self.open.sort(key=lambda w: (-w[0], -w[1], w[2][0][5]))
+        heap = [(0, self.first + self.groups + g, self.step_tokens) for g in range(whole)]
+        left = []
+        for length, cost, rows in self.open:
+            if not heap:
+                left.append((length, cost, rows))
+                continue
+            total, group, room = heapq.heappop(heap)
+            self.rows += [(*r, group, self.step_tokens) for r in rows]
+            if room > length:
+                heapq.heappush(heap, (total + cost, group, room - length))
+        self.groups += whole
+        self.open, self.open_tokens = left, sum(w[0] for w in left)
+        if last and left:
+            self.rows += [(*r, self.first + self.groups, self.open_tokens) for _, _, rows in left for r in rows]
+            self.groups += 1
+            self.open, self.open_tokens = [], 0
 
     def add(self, doc: object, ids: np.ndarray) -> None:
         top = self.tiers[0]
@@ -167,6 +199,7 @@ class Packer:
                 size //= 2
             self._emit(_take(over, size))
             left -= size
+        self._deal(last=True)
 
     def drain(self) -> list[tuple]:
         rows, self.rows = self.rows, []
@@ -209,7 +242,7 @@ def _take(over: list[_Rest], size: int) -> list[_Rest]:
 
 
 def _schema(kind: pa.DataType, key: str) -> pa.Schema:
-    names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "step_group"]
+    names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "step_group", "step_tokens"]
     return pa.schema([(key, kind), *((n, pa.int64()) for n in names)])
 
 
@@ -236,12 +269,12 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None, key: str = "doc_id", text: str = "text", tiers: tuple[int, ...] = TIERS, pool_tokens: int = POOL_TOKENS) -> DataFrame:
-    """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens, step_group.
+    """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens, step_group, step_tokens.
 
     A document's tokens are its text's ids and then END_ID; each token lies in exactly
     one piece. sequence_tokens is the sequence's length: a tier, or a smaller power of
-    two at the end of a task, so nothing is padded. step_group numbers the groups of
-    STEP_TOKENS tokens of one tier within a task (-1 below the tiers). A null or empty
+    two at the end of a task, so nothing is padded. step_group is unique over the table;
+    its step_tokens are STEP_TOKENS, or fewer in the last group of a task. A null or empty
     text is one token. Repeated keys are packed as documents of their own; null keys
     are carried; other columns are ignored; no rows give no rows.
     """
@@ -254,9 +287,10 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, key: str = "doc_id"
     kind = rows.schema[key].dataType.simpleString()
     return rows.mapInArrow(
         lambda it: _packed(it, key, tokenizer_path, tiers, pool_tokens),
-        f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, step_group long",
+        f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, step_group long, step_tokens long",
     )
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """op7: `documents`, whole table and whole texts, as pieces of sequences."""
     return pack(table(spark, sf_dir, "documents"))
