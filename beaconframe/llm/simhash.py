@@ -83,6 +83,8 @@ def within_radius(queries: DataFrame, fps: DataFrame, radius: int = RADIUS) -> D
     fingerprints that share a block's value are compared within a join on that value,
     which adaptive execution splits where it is hot.
     """
+    if not 0 <= radius < BLOCKS:
+        raise ValueError(f"{BLOCKS} blocks serve a radius below {BLOCKS}")
     tables = list(combinations(range(BLOCKS), BLOCKS - radius))
     a = queries.select("q", _tables("q", radius).alias("x")).select("q", "x.t", "x.k").alias("a")
     b = fps.select("fp", _tables("fp", radius).alias("x")).select("fp", "x.t", "x.k").alias("b")
@@ -165,4 +167,5 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """op6: fingerprints of `documents`, whole table and whole texts, and of their edited texts."""
     return fingerprint_documents(table(spark, sf_dir, "documents"))
