@@ -35,12 +35,17 @@ def clean_domain(s: Column) -> Column:
 
 
 def key_values(s: Column) -> Column:
-    """Map of key=value pairs; a value runs to the next key; of equal keys the last counts."""
-    pattern = F.lit(r"([A-Za-z_][A-Za-z0-9_.]*)=(.*?)(?=\s+[A-Za-z_][A-Za-z0-9_.]*=|$)")
-    keys, values = F.regexp_extract_all(s, pattern, F.lit(1)), F.regexp_extract_all(s, pattern, F.lit(2))
-    last = F.array_distinct(F.reverse(keys))
-    rev = F.reverse(values)
-    return F.map_from_arrays(last, F.transform(last, lambda k: F.element_at(rev, F.array_position(F.reverse(keys), k).cast("int"))))
+    """Map of key=value pairs; a value runs to the next key, words without a key belong to the value before; of equal keys the last counts.
+
+    Keys are letters, digits and underscores, not led by a digit, at the start or after a space.
+    """
+    word = "[A-Za-z_][A-Za-z0-9_]*="
+    parts = F.filter(F.split(s, rf"\s+(?={word})"), lambda x: x.rlike(f"^{word}"))
+    keys, values = F.transform(parts, lambda x: F.substring_index(x, "=", 1)), F.transform(parts, lambda x: F.substring(x, F.instr(x, "=") + 1, F.length(x)))
+    # the last of equal keys: the reversed lists are searched from their start
+    return F.element_at(
+        F.transform(F.array(F.struct(F.reverse(keys).alias("k"), F.reverse(values).alias("v"))), lambda kv: F.map_from_arrays(F.array_distinct(kv["k"]), F.transform(F.array_distinct(kv["k"]), lambda k: F.get(kv["v"], (F.array_position(kv["k"], k) - 1).cast("int"))))), 1
+    )
 
 
 def epoch_divisor(largest: Column) -> Column:
@@ -74,7 +79,77 @@ def backoff_seconds(attempts: Column) -> Column:
 
 
 def rr_type_name(code: Column) -> Column:
-    """DNS record type of a code."""
+    """DNS record type of a code; `other` for the rest, null too."""
     # fixed values: DNS record type codes
-    names = {1: "A", 2: "NS", 5: "CNAME", 6: "SOA", 12: "PTR", 15: "MX", 16: "TXT", 28: "AAAA"}
-    return F.coalesce(F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[code], F.lit("other"))
+    names = {1: "a", 2: "ns", 5: "cname", 12: "ptr", 15: "mx", 16: "txt", 28: "aaaa"}
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[code.cast("int")], F.lit("other"))
+
+
+def epoch_time(value: Column, divisor: Column) -> Column:
+    """The time of a number of units since 1970, to the microsecond."""
+    whole = F.floor(value / divisor)
+    return F.timestamp_micros((whole * 1_000_000 + F.floor((value - whole * divisor) * 1_000_000 / divisor)).cast("bigint"))
+
+
+def iso_seconds(t: Column) -> Column:
+    """ISO text of a time, to the second."""
+    return F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def trace_time(value: Column) -> Column:
+    """ISO text of an epoch given as text, each in the unit of its own magnitude; null for what is no number."""
+    n = value.try_cast("decimal(30,6)")
+    return iso_seconds(epoch_time(n, epoch_divisor(F.abs(n))))
+
+
+def synthetic_time(ordinal: Column, base: str = "2026-01-01 00:00:00") -> Column:
+    """Base and a second for each row before."""
+    return F.timestamp_seconds(F.unix_timestamp(F.lit(base).cast("timestamp")) + ordinal)
+
+
+def blank_to_null(s: Column) -> Column:
+    """Trimmed; null if nothing is left."""
+    return F.nullif(F.trim(s), F.lit(""))
+
+
+def trace_number(s: Column) -> Column:
+    """The number that a field spells as an integer or with a point; null for the rest."""
+    return F.when(F.trim(s).rlike(r"^-?\d+(\.\d+)?$"), F.trim(s).try_cast("double"))
+
+
+def name_has(name: Column, words: list[str]) -> Column:
+    """Whether the lower-cased name has one of the words in it."""
+    return reduce(lambda a, b: a | b, [F.contains(F.lower(name), F.lit(w)) for w in words])
+
+
+def stage_from_name(name: Column) -> Column:
+    """Attack stage that a file name tells; null for a benign one."""
+    # fixed values: words of file names
+    words = ["phishing", "malware", "spam", "heavy", "light", "attack", "exf"]
+    return F.when(name_has(name, ["benign"]), F.lit(None)).when(name_has(name, words), "exfiltration").otherwise("suspicious_activity")
+
+
+def default_tactic(source_type: Column) -> Column:
+    """Tactic of a source type."""
+    return F.when(source_type == "network", "TA0011").otherwise("TA0006")
+
+
+#: J12, fixed values: words of column names and the family that each tells.
+FAMILIES = {
+    "process": ["process", "syscall", "thread", "pid", "exec", "comm"],
+    "file_system": ["file", "path", "storage", "fd", "dir", "mode", "dev"],
+    "privilege": ["uid", "gid", "euid", "privilege"],
+    "network_flow": ["network", "socket", "proto", "port", "ip", "dns", "packet"],
+    "user_activity": ["user", "session", "login"],
+    "sequence": ["sequence", "timestamp", "event_ts"],
+}
+
+
+def feature_families(name: Column) -> Column:
+    """Sorted families of one column name."""
+    return F.array_sort(F.array_compact(F.array(*[F.when(name_has(name, words), f) for f, words in FAMILIES.items()])))
+
+
+def progress(done: Column, total: Column) -> Column:
+    """Share done in percent, kept within 0 to 100; 0 of nothing."""
+    return F.coalesce(F.least(F.lit(100.0), F.greatest(F.lit(0.0), done * 100.0 / F.nullif(total, F.lit(0)))), F.lit(0.0))

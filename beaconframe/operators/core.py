@@ -61,10 +61,17 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """A row for each column with non-nulls, distinct values, longest text and score; one pass over the data."""
+    """A row for each column with non-nulls, distinct values, longest text and score.
+
+    Values are counted in one long table of column and value, so that partial counts leave the tasks.
+    """
     numeric = {f.name for f in df.schema if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")}
-    made = [F.struct(F.lit(c).alias("column"), F.lit(c in numeric).alias("is_numeric"), F.count(c).alias("non_null"), F.count_distinct(c).alias("n_distinct"), F.max(F.length(F.col(c).cast("string"))).cast("bigint").alias("max_length")) for c in df.columns]
-    rows = df.agg(F.array(*made).alias("x")).select(F.inline("x"))
+    cells = F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"`{c}`").cast("string").alias("v")) for k, c in enumerate(df.columns)]))
+    values = df.select(cells).groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    there = F.col("v").isNotNull()
+    counted = values.groupBy("k").agg(F.coalesce(F.sum(F.when(there, F.col("n"))), F.lit(0)).cast("bigint").alias("non_null"), F.count("v").alias("n_distinct"), F.max(F.length("v")).cast("bigint").alias("max_length"))
+    names = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(c in numeric).alias("is_numeric")) for c in df.columns])
+    rows = counted.withColumn("x", F.get(names, F.col("k"))).select("x.column", "x.is_numeric", "non_null", "n_distinct", "max_length")
     return rows.withColumn("score", F.col("non_null") + F.least("n_distinct", F.lit(10)) * F.when(F.col("is_numeric"), 100).otherwise(50))
 
 
@@ -112,31 +119,10 @@ def centroids(rows: DataFrame, label: str, values: list[str]) -> DataFrame:
     return m.select(*weights, bias.alias("bias"))
 
 
-def log_filter(logs: DataFrame, services: list[str] | None = None, level: str | None = None, search: str | None = None, date_from: str | None = None, time_from: str | None = None) -> DataFrame:
-    """A null timestamp passes date bounds and fails time bounds."""
-    ok = F.lit(True)
-    if services:
-        ok &= F.col("service").isin(services)
-    if level:
-        ok &= F.lower("level") == level.lower()
-    if search:
-        ok &= F.lower(F.concat_ws(" ", "service", "level", "function", "message")).contains(search.lower())
-    if date_from:
-        ok &= F.col("ts").isNull() | (F.to_date("ts") >= F.lit(date_from).cast("date"))
-    if time_from:
-        ok &= F.coalesce(F.date_format("ts", "HH:mm:ss") >= time_from, F.lit(False))
-    return logs.where(ok)
-
-
-def page_after(rows: DataFrame, keys: list[str], cursor: list | None, size: int) -> DataFrame:
-    """The page after the cursor in ascending keys; one row more tells that there are more."""
-    if cursor is not None:
-        rows = rows.where(F.struct(*keys) > F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, cursor, strict=True)]))
-    return rows.orderBy(*keys).limit(size + 1)
-
-
 def overlay(base: DataFrame, key: str, patches: DataFrame, deleted: DataFrame, columns: list[str]) -> DataFrame:
     """Patches (key, column, value) over rows that aren't deleted; a null value overrides too."""
+    if not columns:
+        return base.join(deleted.select(key), key, "left_anti").select(*[F.col(f"`{c}`") for c in base.columns])
     wide = patches.groupBy(key).agg(*[F.max_by(F.struct("value"), F.when(F.col("column") == c, F.col("seq"))).alias(f"__{c}") for c in columns])
     kept = base.join(deleted.select(key), key, "left_anti").join(wide, key, "left")
     return kept.select(*[F.when(F.col(f"__{c}").isNotNull(), F.col(f"__{c}.value")).otherwise(F.col(c).cast("string")).alias(c) if c in columns else F.col(c) for c in base.columns])

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -58,7 +61,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = held.get() if held.isDefined() else None
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         found = Path(tempfile.mkdtemp(prefix="beaconframe-shared-")).as_uri()
+        atexit.register(shutil.rmtree, found.removeprefix("file://"), ignore_errors=True)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

@@ -40,7 +40,7 @@ def test_overlay_null_overrides(spark):
     assert [tuple(r) for r in out] == [(1, None), (2, "y")]
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+@pytest.mark.parametrize("name", sorted(catalogue.SQL))
 def test_query_matches_sql(spark, name):
     c = duckdb.connect()
     for t in "region nation customer supplier part orders lineitem events documents pages labels conversations".split():

@@ -28,6 +28,6 @@ def test_json(spark, tmp_path):
 def test_calls_and_domains(spark, tmp_path):
     path = _put(tmp_path, "t.sc", "1631222507704088918 0 20940 apache2 20940 clone < res=31 exe=apache2\n\nbad line\n1 0 2 p 3 read >\n")
     rows = files.read_calls(spark, path).collect()
-    assert [r["syscall"] for r in rows] == ["clone", "read"] and rows[0]["rest"] == "res=31 exe=apache2" and rows[1]["rest"] == ""
+    assert [r["syscall"] for r in rows] == ["clone", "read"] and rows[0]["raw_args"] == "res=31 exe=apache2" and rows[1]["raw_args"] is None
     names = files.read_domains(spark, _put(tmp_path, "x_domains.csv", "google.com\n, a.org,b\n\n ,\n"))
     assert [r[0] for r in names.collect()] == ["google.com", "a.org"]
