@@ -32,7 +32,7 @@ from beaconframe.session import cut, scratch, ship, table
 LEAST_REVISIT = 1000
 ROLL_BYTES = 256 << 20
 #: Payload bytes of a shard, about, and the most shards; DRAWN records a shard are drawn for the bounds, which the driver sorts.
-SHARD_BYTES, MOST_SHARDS, DRAWN = 32 << 20, 20_000, 20
+SHARD_BYTES, MOST_SHARDS, DRAWN = 16 << 20, 20_000, 20
 DATE = "2024-01-01T00:00:00Z"
 _NAMESPACE = uuid.UUID("6f6a1c52-3f0b-5a3c-9a55-0d6c1a0f7b11")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -163,12 +163,12 @@ def _renamed(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Reco
         yield batch.select([1])
 
 
-def _sharded(rows: DataFrame, placed: DataFrame, shard_bytes: int) -> DataFrame:
-    """placed with a column shard before the others: the number of bounds that its (id, digest) reaches."""
+def _sharded(rows: DataFrame, placed: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """placed with a column shard before the others, the number of bounds that its (id, digest) reaches, and how many shards there are."""
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("html")), F.lit(0)).alias("bytes")).first()
     shards = max(1, min(MOST_SHARDS, -(-size["bytes"] // shard_bytes)))
     if shards == 1:
-        return placed.select(F.lit(0).alias("shard"), "*")
+        return placed.select(F.lit(0).alias("shard"), "*"), 1
     draw = F.pmod(F.xxhash64("id", "digest"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, DRAWN * shards / size["n"])))
     key = F.struct("id", "digest")
     drawn = [r[0] for r in rows.where(draw).select(key.alias("k")).orderBy("k").collect()]  # about DRAWN * shards of them
@@ -179,7 +179,7 @@ def _sharded(rows: DataFrame, placed: DataFrame, shard_bytes: int) -> DataFrame:
     steps = F.array(*[F.lit(jump >> k) for k in range(1, jump.bit_length())])
     reaches = lambda at: F.coalesce(F.get("bounds", at - 1) <= key, F.lit(False))
     search = F.aggregate(steps, F.lit(0), lambda low, step: F.when(reaches(low + step), low + step).otherwise(low))
-    return placed.crossJoin(F.broadcast(listed)).select(search.alias("shard"), *placed.columns)  # one row
+    return placed.crossJoin(F.broadcast(listed)).select(search.alias("shard"), *placed.columns), shards  # one row
 
 
 def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html", roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> dict:
@@ -205,8 +205,8 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     none = F.lit(None).cast(rows.schema["id"].dataType)
     marks = large.join(groups, "digest").where(F.col("id") != F.col("last.id")).select("id", F.lit(0).alias("mark"), "digest", F.col("last.id").alias("refers_to"), F.col("last.url").alias("url"), F.lit(None).cast("string").alias("html"))
     whole = rows.select("id", F.lit(1).alias("mark"), "digest", none.alias("refers_to"), "url", "html")
-    placed = _sharded(rows, whole.unionByName(marks), shard_bytes)
-    sorted_ = placed.repartition("shard").sortWithinPartitions("shard", "id", "digest", "mark", "url")
+    placed, shards = _sharded(rows, whole.unionByName(marks), shard_bytes)
+    sorted_ = placed.repartition(shards, "shard").sortWithinPartitions("shard", "id", "digest", "mark", "url")
     written = sorted_.mapInArrow(lambda it: _write(it, folder, roll_bytes), "temporary string, file string, records bigint, bytes bigint, sha256 string").collect()  # a row for each file
     files = sorted(written, key=lambda r: r.file)
     if files:
