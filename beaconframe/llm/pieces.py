@@ -31,6 +31,8 @@ from beaconframe.session import ship, table
 
 SPACE = "▁"
 DROPOUT, SEED, SHARED, LONG = 0.1, 17, 14, 40
+#: Bytes of text that are encoded together, about: what a task holds is some hundred times as much.
+JOINED = 6 << 20
 #: Words of one length that are merged together: few enough for the processor's caches.
 ROUND = 1 << 13
 _WORD = re.compile(r" *[^ ]+| +")
@@ -367,7 +369,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.select(*[F.col(f"`{f.name}`") for f in kept], "ids").mapInArrow(lambda it: _decoded(it, p), f"{declared}text string")
 
 
-def _joined(batches: Iterator[pa.RecordBatch], least: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+def _joined(batches: Iterator[pa.RecordBatch], least: int = JOINED) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `least` bytes: the more words together, the fewer distinct ones to merge."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
