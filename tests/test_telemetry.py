@@ -71,7 +71,7 @@ def test_host_metrics_and_traces(spark, tmp_path):
 
 
 def test_malformed_and_duplicate_rows_are_counted(spark, tmp_path):
-    path = put(tmp_path / "heavy.csv", "Domain;T tl;T-tl\na.org;1;x\na.org;1;x\n;2;5\nb.org;3;6;7\nc.org\n")
+    path = put(tmp_path / "heavy.csv", "Domain,T tl,T-tl\na.org,1,x\na.org,1,x\n,2,5\nb.org,3,6,7\nc.org\n")
     rows, report = normalize.normalize(spark, path)
     got = sorted((r.entity_id, r.t_tl, r.t_tl_2) for r in rows.collect())
     assert [g[0] for g in got] == ["a.org", "a.org", "c.org"] and report["duplicate_rows"] == 1 and report["dropped_rows"] == 1
