@@ -13,7 +13,7 @@ from beaconframe.streaming import flows
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-KINDS = ["click", "login", "logout", "purchase", "view"]
+KINDS = ["click", "error", "purchase", "signup", "view"]
 
 
 def _us():
@@ -229,13 +229,13 @@ c AS (SELECT k, 'q' AS f, q * 0.01::DOUBLE AS c FROM f UNION ALL SELECT k, 'd',
 r AS (SELECT *, row_number() OVER (PARTITION BY k, c >= 0 ORDER BY -abs(c), f) AS r FROM c)"""
 
 
-@query(_EXPLAINED + " SELECT k, coalesce(string_agg(f, ',' ORDER BY r) FILTER (WHERE c >= 0 AND r <= 2), '') AS positive, coalesce(string_agg(f, ',' ORDER BY r) FILTER (WHERE c < 0 AND r <= 2), '') AS negative, round(sum(c) FILTER (WHERE r <= 2), 6) AS total FROM r GROUP BY k")
+@query(_EXPLAINED + " SELECT k, coalesce(string_agg(f, ',' ORDER BY r) FILTER (WHERE c >= 0 AND r <= 2), '') AS positive, coalesce(string_agg(f, ',' ORDER BY r) FILTER (WHERE c < 0 AND r <= 2), '') AS negative, CAST(round(sum(c) FILTER (WHERE r <= 2) * 10000) AS BIGINT) AS total FROM r GROUP BY k")
 def explain_topk(t):
     rows = t("orders").select(F.col("o_orderkey").alias("k"), F.round(F.col("o_totalprice") / 1000 - 150, 2).cast("double").alias("q"), (F.col("o_custkey") % 7 - 3).cast("double").alias("d"), (F.col("o_orderkey") % 5).cast("double").alias("x"), (F.col("o_custkey") % 11 - 4).cast("double").alias("n"))
     e = detector.contributions(rows, {"q": 0.01, "d": 2.0, "x": -1.5, "n": 0.03}, "k", 2)
     names = lambda c: F.array_join(F.transform(c, lambda x: x["feature"]), ",")
     total = F.aggregate(F.concat("positive", "negative"), F.lit(0.0), lambda a, x: a + x["contribution"])
-    return e.select("k", names("positive").alias("positive"), names("negative").alias("negative"), F.round(total, 6).alias("total"))
+    return e.select("k", names("positive").alias("positive"), names("negative").alias("negative"), F.round(total * 10000).cast("bigint").alias("total"))
 
 
 def _logs(t):
@@ -253,9 +253,9 @@ def log_search(t):
     return logs.matching(_logs(t), logs.Search(services=["click", "view"], level="Error", search='"K": 1', time_from="06:00", time_to="20:30:00")).select("service", "level", "line_number")
 
 
-@query(f"SELECT line_number FROM {_LOGS} WHERE contains(lower(function), 'handle_l') AND contains(lower(coalesce(error, '')), 'code\": 2') AND (timestamp IS NULL OR (substr(timestamp, 1, 10) >= '2024-01-02' AND substr(timestamp, 1, 10) <= '2024-01-20'))")
+@query(f"SELECT line_number FROM {_LOGS} WHERE contains(lower(function), 'handle_') AND contains(lower(coalesce(error, '')), 'code\": 2') AND (timestamp IS NULL OR (substr(timestamp, 1, 10) >= '2024-01-02' AND substr(timestamp, 1, 10) <= '2024-01-20'))")
 def log_search_fields(t):
-    return logs.matching(_logs(t), logs.Search(function="HANDLE_L", error_text='code": 2', date_from="2024-01-02", date_to="2024-01-20")).select("line_number")
+    return logs.matching(_logs(t), logs.Search(function="HANDLE_", error_text='code": 2', date_from="2024-01-02", date_to="2024-01-20")).select("line_number")
 
 
 def _log_page(t, descending):
