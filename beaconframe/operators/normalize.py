@@ -30,6 +30,10 @@ SCHEMAS = {
     "generic_tabular": ["host-simulated"],
     "generic_json": ["host-simulated"],
 }
+# fixed values: texts of warnings
+NO_TIMES = "Synthetic timestamps were used for rows without a parseable event timestamp."
+NO_LABELS = "Labels were derived deterministically from the file name."
+DOMAINS_ONLY = "Domain lists are treated as auxiliary supporting_only inputs."
 TABULAR_FEED = {"domain", "ttl", "asn", "ip", "entropy"}
 #: Columns that name an entity where the manifest's isn't there, the first one counts.
 ENTITIES = ["domain", "domain_name", "rr"]
@@ -215,9 +219,9 @@ def normalize_table(raw: DataFrame, path: str, manifest: Manifest) -> tuple[Data
     )
     notes = []
     if lost or time_column not in names:
-        notes.append("Synthetic timestamps were used for rows without a parseable event timestamp.")
+        notes.append(NO_TIMES)
     if label_column not in names:
-        notes.append("Labels were derived deterministically from the file name.")
+        notes.append(NO_LABELS)
     return events, {"duplicate_rows": total - kept, "invalid_values": invalid, "warnings": notes, "supporting_only": False, "details": {"original_columns": names, "synthetic_timestamps_used": lost}}
 
 
@@ -230,7 +234,7 @@ def normalize_domains(domains: DataFrame, path: str, manifest: Manifest) -> tupl
     n = events.count()
     if not n:
         raise ContractError("the list has no domains")
-    return events, {"duplicate_rows": 0, "invalid_values": 0, "warnings": ["Domain lists are treated as auxiliary supporting_only inputs."], "supporting_only": True, "details": {"domain_count": n}}
+    return events, {"duplicate_rows": 0, "invalid_values": 0, "warnings": [DOMAINS_ONLY], "supporting_only": True, "details": {"domain_count": n}}
 
 
 def normalize_flows(rows: DataFrame, path: str, manifest: Manifest) -> tuple[DataFrame, dict]:
