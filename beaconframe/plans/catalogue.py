@@ -224,14 +224,14 @@ def roc_auc(t):
     return O.roc_auc(_scored(t).withColumn("score", F.round("score", 5)), "label", "score")
 
 
-_EXPLAINED = """WITH f AS (SELECT o_orderkey AS k, CAST(round(o_totalprice / 1000 - 150, 2) AS DOUBLE) AS q, CAST(o_custkey % 7 - 3 AS DOUBLE) AS d, CAST(o_orderkey % 5 AS DOUBLE) AS x, CAST(o_custkey % 11 - 4 AS DOUBLE) AS n FROM orders),
+_EXPLAINED = """WITH f AS (SELECT o_orderkey AS k, CAST(floor(o_totalprice / 1000) - 150 AS DOUBLE) AS q, CAST(o_custkey % 7 - 3 AS DOUBLE) AS d, CAST(o_orderkey % 5 AS DOUBLE) AS x, CAST(o_custkey % 11 - 4 AS DOUBLE) AS n FROM orders),
 c AS (SELECT k, 'q' AS f, q * 0.01::DOUBLE AS c FROM f UNION ALL SELECT k, 'd', d * 2.0::DOUBLE FROM f UNION ALL SELECT k, 'x', x * (-1.5)::DOUBLE FROM f UNION ALL SELECT k, 'n', n * 0.03::DOUBLE FROM f),
 r AS (SELECT *, row_number() OVER (PARTITION BY k, c >= 0 ORDER BY -abs(c), f) AS r FROM c)"""
 
 
 @query(_EXPLAINED + " SELECT k, coalesce(string_agg(f, ',' ORDER BY r) FILTER (WHERE c >= 0 AND r <= 2), '') AS positive, coalesce(string_agg(f, ',' ORDER BY r) FILTER (WHERE c < 0 AND r <= 2), '') AS negative, CAST(round(sum(c) FILTER (WHERE r <= 2) * 10000) AS BIGINT) AS total FROM r GROUP BY k")
 def explain_topk(t):
-    rows = t("orders").select(F.col("o_orderkey").alias("k"), F.round(F.col("o_totalprice") / 1000 - 150, 2).cast("double").alias("q"), (F.col("o_custkey") % 7 - 3).cast("double").alias("d"), (F.col("o_orderkey") % 5).cast("double").alias("x"), (F.col("o_custkey") % 11 - 4).cast("double").alias("n"))
+    rows = t("orders").select(F.col("o_orderkey").alias("k"), (F.floor(F.col("o_totalprice") / 1000) - 150).cast("double").alias("q"), (F.col("o_custkey") % 7 - 3).cast("double").alias("d"), (F.col("o_orderkey") % 5).cast("double").alias("x"), (F.col("o_custkey") % 11 - 4).cast("double").alias("n"))
     e = detector.contributions(rows, {"q": 0.01, "d": 2.0, "x": -1.5, "n": 0.03}, "k", 2)
     names = lambda c: F.array_join(F.transform(c, lambda x: x["feature"]), ",")
     total = F.aggregate(F.concat("positive", "negative"), F.lit(0.0), lambda a, x: a + x["contribution"])
