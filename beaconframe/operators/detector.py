@@ -193,6 +193,11 @@ def predict(bundle: Bundle, records: DataFrame) -> DataFrame:
     return scores(bundle, rows).select(F.col(KEY).alias("row_index"), "entity_id", *BRANCHES, "fusion", "predicted", F.array(*[F.lit(c) for c in bundle.schema.required_columns[:5]]).alias("top_features")).orderBy("row_index")
 
 
+def write_detections(scored: DataFrame, path: str, job: str) -> None:
+    """A row for each scored record, appended: job, row_index, entity_id, score, predicted and each branch's score."""
+    scored.select(F.lit(job).alias("job"), "row_index", "entity_id", F.col("fusion").alias("score"), "predicted", *BRANCHES).write.mode("append").parquet(path)
+
+
 def contributions(rows: DataFrame, weights: dict[str, float], key: str, k: int = 10) -> DataFrame:
     """Of each row the k greatest contributions (value times weight) of either sign, by their size, then the column's name.
 

@@ -89,6 +89,11 @@ def listed(rows: DataFrame, name: str, newest: bool = False) -> DataFrame:
     return rows.orderBy(F.desc("created_at"), F.desc("id")) if newest else rows.orderBy(name, "id")
 
 
+def newest(rows: DataFrame, most: int = 6) -> DataFrame:
+    """The newest rows, as a report shows them."""
+    return listed(rows, "id", newest=True).limit(most)
+
+
 def checked_sizes(files: DataFrame, size: str, most: int) -> int:
     """bytes of all files; more than the limit is an error."""
     total = files.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]

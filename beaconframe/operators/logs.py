@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from datetime import date
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconframe.operators import ordered
@@ -56,35 +56,56 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*made, *batch.columns[2:]], names=[*_ENTRY.names, *batch.schema.names[2:]])
 
 
+def _globs(spark: SparkSession, root: str) -> list[str]:
+    """Patterns of the store's files that match some: those of a service and day, and the parts that write_logs makes."""
+    path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    return [p for p in (f"{root}/*/*.json.log", f"{root}/service=*/day=*/*.json") if fs.globStatus(path(p))]
+
+
+def _unescaped(s: Column) -> Column:
+    return F.try_url_decode(F.replace(s, F.lit("+"), F.lit("%2B")))
+
+
+def _service(path: Column) -> Column:
+    """The folder's name, or what the sink put into it, where it is escaped."""
+    written = F.regexp_extract(path, r"/service=([^/]+)/day=[^/]+/[^/]+$", 1)
+    return F.when(written != "", _unescaped(written)).otherwise(F.element_at(F.split(path, "/"), -2))
+
+
 def read_logs(spark: SparkSession, root: str, services: list[str] | None = None, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
-    """Entries of the files root/service/service-day.json.log, with source_file and line_number.
+    """Entries of the files root/service/service-day.json.log and of what write_logs wrote, with source_file and line_number.
 
-    Only files of the services and days asked for are read; a file whose name has no day is
+    Only files of the services and days asked for are read; a file whose path has no day is
     read always. Blank lines are no entries, but count as lines.
     """
     ship(spark)
-    day = F.try_to_date(F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})\.json\.log$", 1), "yyyy-MM-dd") if hasattr(F, "try_to_date") else F.expr("try_cast(regexp_extract(path, '(\\\\d{4}-\\\\d{2}-\\\\d{2})[.]json[.]log$', 1) as date)")
-    listed = spark.read.format("binaryFile").load(f"{root}/*/*.json.log").select("path").withColumn("day", day).withColumn("service", F.element_at(F.split("path", "/"), -2))
-    wanted = listed.where(F.contains(F.element_at(F.split("path", "/"), -1), F.concat("service", F.lit("-"))))
-    if services:
-        wanted = wanted.where(F.col("service").isin(services))
-    for bound, later in ((date_from, True), (date_to, False)):
-        if bound:
-            limit = F.lit(date.fromisoformat(bound))
-            wanted = wanted.where(F.col("day").isNull() | (F.col("day") >= limit if later else F.col("day") <= limit))
-    paths = [r["path"] for r in wanted.orderBy("day", "path").collect()]  # names of files
+    kinds = "timestamp string, service string, level string, function string, message string, request string, error string, context string, is_valid boolean, raw_line string"
+    paths = []
+    if globs := _globs(spark, root):
+        day = F.try_to_date(F.regexp_extract("path", r"(?:-|/day=)(\d{4}-\d{2}-\d{2})(?:\.json\.log|/[^/]+)$", 1), "yyyy-MM-dd")
+        listed = spark.read.format("binaryFile").load(globs).select("path").withColumn("day", day).withColumn("service", _service(F.col("path")))
+        wanted = listed.where(F.endswith("path", F.lit(".json")) | F.contains(F.element_at(F.split("path", "/"), -1), F.concat("service", F.lit("-"))))
+        if services:
+            wanted = wanted.where(F.col("service").isin(services))
+        for bound, later in ((date_from, True), (date_to, False)):
+            if bound:
+                limit = F.lit(date.fromisoformat(bound))
+                wanted = wanted.where(F.col("day").isNull() | (F.col("day") >= limit if later else F.col("day") <= limit))
+        paths = [r["path"] for r in wanted.orderBy("day", "path").collect()]  # names of files
     if not paths:
-        return spark.createDataFrame([], "timestamp string, service string, level string, function string, message string, request string, error string, context string, is_valid boolean, raw_line string, source_file string, line_number bigint")
+        return spark.createDataFrame([], f"{kinds}, source_file string, line_number bigint")
     lines = spark.read.text(paths).select(F.trim("value").alias("line"), F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     numbered = ordered.rank(lines, ["source_file"], ["block", "at"], "line_number").where("line <> ''")
-    shaped = numbered.select("line", F.element_at(F.split("source_file", "/"), -2).alias("service"), "source_file", "line_number")
-    kinds = "timestamp string, service string, level string, function string, message string, request string, error string, context string, is_valid boolean, raw_line string"
+    shaped = numbered.select("line", _service(_unescaped(F.col("source_file"))).alias("service"), "source_file", "line_number")
     return shaped.mapInArrow(_entries, f"{kinds}, source_file string, line_number bigint")
 
 
 def list_services(spark: SparkSession, root: str) -> list[str]:
-    """Names of the folders that hold logs."""
-    found = spark.read.format("binaryFile").load(f"{root}/*/*").select(F.element_at(F.split("path", "/"), -2).alias("s"))
+    """Names of the services that have logs."""
+    if not (globs := _globs(spark, root)):
+        return []
+    found = spark.read.format("binaryFile").load(globs).select(_service(F.col("path")).alias("s"))
     return [r["s"] for r in found.distinct().orderBy("s").collect()]  # names of services
 
 
@@ -163,9 +184,15 @@ def page(entries: DataFrame, size: int = 50, cursor: str | None = None, descendi
 
 
 def write_logs(entries: DataFrame, root: str) -> None:
-    """Entries as JSON lines in folders of service and day."""
+    """Entries as JSON lines in folders of service and day, which read_logs reads.
+
+    request, error and context are JSON text and are written as what they say, what is no
+    JSON as null.
+    """
     time = F.col("timestamp").try_cast("timestamp") if dict(entries.dtypes)["timestamp"] == "string" else F.col("timestamp")
-    entries.withColumn("day", F.date_format(time, "yyyy-MM-dd")).write.mode("append").partitionBy("service", "day").json(root)
+    said = {c: F.try_parse_json(c) for c in ("request", "error", "context") if dict(entries.dtypes).get(c) == "string"}
+    dated = entries.withColumn("day", F.date_format(time, "yyyy-MM-dd"))
+    dated.withColumns(said).write.mode("append").partitionBy("service", "day").json(root)
 
 
 def day_of(name: str) -> str | None:

@@ -293,6 +293,12 @@ def write_normalized(rows: DataFrame, report: dict, path: str) -> None:
     rows.sparkSession.createDataFrame([(json.dumps(report, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/report")
 
 
+def read_normalized(spark: SparkSession, path: str) -> DataFrame:
+    """Events as write_normalized wrote them, event_ts as a time; null where it is no time."""
+    rows = spark.read.parquet(f"{path}/events")
+    return rows.withColumn("event_ts", F.col("event_ts").try_cast("timestamp"))
+
+
 def combine(frames: list[DataFrame]) -> DataFrame:
     """All events together, canonical columns first, the others by name, missing ones null. Columns that are text anywhere are text."""
     kinds: dict[str, set[bool]] = {}

@@ -19,15 +19,15 @@ def _quoted(name: str) -> str:
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """A text table with a header, all columns strings; empty fields are null.
+    """A text table with a header, all columns strings; empty fields are null, a quote within quotes is doubled.
 
     Rows with too many fields go, short ones are filled with nulls. Of the rows that don't
     have the header's number of fields, those that one more field changes are short.
     """
-    names = spark.read.csv(path, header=True, sep=sep).columns
+    names = spark.read.csv(path, header=True, sep=sep, escape='"').columns
     schema = ", ".join(f"{_quoted(n)} string" for n in names)
-    rows = spark.read.csv(path, header=True, sep=sep, schema=f"{schema}, {RECORD} string", mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
-    longer = F.from_csv(F.concat(F.col(RECORD), F.lit(f"{sep}+")), schema, {"sep": sep})
+    rows = spark.read.csv(path, header=True, sep=sep, escape='"', schema=f"{schema}, {RECORD} string", mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
+    longer = F.from_csv(F.concat(F.col(RECORD), F.lit(f"{sep}+")), schema, {"sep": sep, "escape": '"'})
     same = F.lit(True)
     for n in names:
         same = same & longer.getField(n).eqNullSafe(F.col(_quoted(n)))

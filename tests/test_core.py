@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from beaconframe.functions import columns as C
 from beaconframe.operators import core as O
-from beaconframe.plans import catalogue
+from beaconframe.plans import catalogue, round_trips
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,13 +40,13 @@ def test_overlay_null_overrides(spark):
     assert [tuple(r) for r in out] == [(1, None), (2, "y")]
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.SQL))
+@pytest.mark.parametrize("name", sorted(catalogue.SQL | round_trips.SQL))
 def test_query_matches_sql(spark, name):
     c = duckdb.connect()
     for t in "region nation customer supplier part orders lineitem events documents pages labels conversations".split():
         c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     norm = lambda rows: sorted(tuple("" if v is None else f"{v:.3f}" if isinstance(v, float) else str(v) for v in r) for r in rows)
-    df = catalogue.QUERIES[name](spark, SF)
+    df = (catalogue.QUERIES | round_trips.QUERIES)[name](spark, SF)
     cols = sorted(df.columns)
-    expected = c.sql("select " + ", ".join(f'"{x}"' for x in cols) + f" from ({catalogue.SQL[name]})").fetchall()
+    expected = c.sql("select " + ", ".join(f'"{x}"' for x in cols) + f" from ({(catalogue.SQL | round_trips.SQL)[name]})").fetchall()
     assert norm(tuple(r) for r in df.select(*[F.col(f"`{x}`") for x in cols]).collect()) == norm(expected)

@@ -15,6 +15,12 @@ def test_delimited(spark, tmp_path):
     assert sorted(map(str, files.read_delimited(spark, str(tmp_path / "out")).collect())) == sorted(map(str, rows.collect()))
 
 
+def test_delimited_quotes(spark, tmp_path):
+    path = _put(tmp_path, "q.csv", 'a,"b ""c"""\n1,"x, ""y"""\n2,"back\\slash"\n3\n4,"p","q"\n')
+    rows = files.read_delimited(spark, path)
+    assert rows.columns == ["a", 'b "c"'] and [tuple(r) for r in rows.collect()] == [("1", 'x, "y"'), ("2", "back\\slash"), ("3", None)]
+
+
 def test_json(spark, tmp_path):
     lines = files.read_json(spark, _put(tmp_path, "a.json", '{"n": 1, "p": {"q": "x"}}\n{"n": 2, "p": null}\n'))
     assert lines.columns == ["n", "p.q"] and [tuple(r) for r in lines.collect()] == [(1, "x"), (2, None)]

@@ -190,6 +190,20 @@ def test_log_entries_redaction_and_search(spark, store):
     assert logs.read_logs(spark, store, ["none"]).count() == 0 and logs.day_of("backend-2026-04-21.json.log") == "2026-04-21"
     logs.write_logs(entries, f"{store}/../written")
     assert spark.read.json(f"{store}/../written").count() == 5
+    again = logs.read_logs(spark, f"{store}/../written")
+    fields = ["timestamp", "service", "level", "message", "request", "error"]
+    said = lambda rows: sorted(repr([json.dumps(json.loads(r[c]), sort_keys=True) if c in ("request", "error") and r[c] else r[c] for c in fields]) for r in rows.collect())
+    assert said(again) == said(entries) and logs.list_services(spark, f"{store}/../written") == ["backend", "training-service"]
+
+
+def test_log_sink_with_odd_services(spark, tmp_path):
+    rows = spark.createDataFrame([("2026-04-21T10:00:00Z", "a b+c%41", "x", '{"n": 1}'), ("2026-04-22T10:00:00Z", "plain", "y", "no json"), (None, "plain", "z", None)], "timestamp string, service string, message string, request string")
+    logs.write_logs(rows, f"{tmp_path}/w")
+    assert logs.list_services(spark, f"{tmp_path}/w") == ["a b+c%41", "plain"] and logs.list_services(spark, f"{tmp_path}/none") == []
+    got = lambda **k: sorted((r.service, r.message, r.request) for r in logs.read_logs(spark, f"{tmp_path}/w", **k).collect())
+    assert got() == [("a b+c%41", "x", '{"n": 1}'), ("plain", "y", "{}"), ("plain", "z", "{}")]
+    assert got(date_from="2026-04-22") == [("plain", "y", "{}"), ("plain", "z", "{}")] and got(services=["a b+c%41"])[0][1] == "x"
+    assert logs.read_logs(spark, f"{tmp_path}/none").count() == 0
 
 
 @pytest.mark.parametrize("descending", [False, True])
