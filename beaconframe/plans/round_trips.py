@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from beaconframe.operators import detector, discovery, editor, lineage, logs, normalize
 from beaconframe.session import scratch, table
 from beaconframe.sources import files, formats, packets
+from beaconframe.streaming import flows, outbox
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -143,3 +144,39 @@ def path_suffixes(spark, t, folder):
     kind = F.when(F.col("o_orderkey") % 3 == 0, ".RES").when(F.col("o_orderkey") % 3 == 1, ".tar.gz").otherwise(".sc")
     paths = t("orders").select((F.col("o_custkey") % 20).alias("member_of"), F.concat(F.lit("x/"), F.col("o_orderkey").cast("string"), kind).alias("path"))
     return paths.withColumn("suffix", discovery.suffix(F.col("path")))
+
+
+@query("SELECT p_brand AS brand, p_size AS size, count(*) AS n FROM part GROUP BY ALL")
+def archived_files(spark, t, folder):
+    """Members of packed files, and their lines."""
+    t("part").select(F.concat_ws(";", "p_brand", F.col("p_size").cast("string")).alias("value")).write.text(f"{folder}/in", compression="gzip")
+    found = formats.read_archives(spark, f"{folder}/in").where(F.endswith("member", F.lit(".txt")))
+    line = F.explode(F.split(F.rtrim(F.decode("content", "UTF-8"), F.lit("\n")), "\n")).alias("line")
+    fields = found.select(line).select(F.split("line", ";").alias("f"))
+    return fields.groupBy(F.col("f")[0].alias("brand"), F.col("f")[1].cast("int").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT CAST(row_number() OVER (ORDER BY CAST(user_id AS VARCHAR), ts, event_id) AS BIGINT) AS number, event_id, CAST(user_id AS VARCHAR) AS entity_id, CAST(value > 50 AS INTEGER) AS label, coalesce(CASE WHEN event_id % 4 <> 0 THEN value END, 0.0) AS value,
+CAST(event_type = 'view' AS DOUBLE) AS kind_view, CAST(event_type = 'click' AS DOUBLE) AS kind_click FROM events""")
+def training_rows(spark, t, folder):
+    """Features as numbers, indicators of categories, rows numbered by entity and time."""
+    e = t("events").select(F.col("user_id").cast("string").alias("entity_id"), F.col("ts").alias("event_ts"), F.lit("network").alias("source_type"), (F.col("value") > 50).cast("int").alias("label"), F.lit(None).cast("string").alias("attack_stage"), F.lit(None).cast("string").alias("mitre_tactic"), "event_id", F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("value"), F.col("event_type").alias("kind"))
+    rows, _ = detector.training_frame(e, normalize.FeatureSchema("events", ["event_id", "value", "kind"], source_type="network"))
+    return rows.select(F.col(detector.KEY).alias("number"), F.col("event_id").cast("bigint").alias("event_id"), "entity_id", "label", "value", "kind_view", "kind_click")
+
+
+@query("SELECT DISTINCT event_type AS consumer, user_id AS message_id FROM events")
+def streaming_outbox(spark, t, folder):
+    """L3, L4: messages that come in several batches are published once."""
+    t("events").select(F.col("event_type").alias("consumer"), F.col("user_id").alias("message_id")).repartition(4).write.parquet(f"{folder}/out")
+    stream = spark.readStream.schema("consumer string, message_id bigint").option("maxFilesPerTrigger", 1).parquet(f"{folder}/out")
+    outbox.publish(spark, stream, f"{folder}/sent", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/sent").select("consumer", "message_id")
+
+
+@query("SELECT DISTINCT event_type AS consumer, user_id AS message_id FROM events")
+def streaming_inbox(spark, t, folder):
+    """L4: each message of a stream once."""
+    t("events").select(F.col("event_type").alias("consumer"), F.col("user_id").alias("message_id"), F.to_timestamp(F.lit("2026-01-01 00:00:00")).alias("at")).write.parquet(f"{folder}/out")
+    stream = spark.readStream.schema("consumer string, message_id bigint, at timestamp").parquet(f"{folder}/out")
+    return flows.drain(spark, flows.undelivered_stream(stream, "at"), complete=False).select("consumer", "message_id")
