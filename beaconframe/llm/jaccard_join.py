@@ -53,6 +53,8 @@ SLACK = 4 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / MARKS)
 APART = 1024
 #: Sets of a large group that are tried as its centre, about.
 CENTRES = 8
+#: Rows for which a task is worth its files: of ids, of ids with sketches, and of whole sets (which may be long).
+NARROW, WIDE, WHOLE = 1 << 15, 1 << 12, 1 << 9
 _TOKEN = re.compile(r"\w+")
 _RNG = np.random.default_rng(11)
 _A = (_RNG.integers(1, 1 << 62, SKETCH).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -174,6 +176,18 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _in_few(df: DataFrame, rows: int | None, each: int = NARROW) -> DataFrame:
+    """df in as few tasks as about so many rows are worth, and no more than a shuffle makes; as it is if they are not known.
+
+    Every task leaves files and events, however few rows it has: a union has the tasks of all
+    its parts, and each shuffle as many as the session says. Nothing is shuffled for this.
+    """
+    if rows is None:
+        return df
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(1, min(most, math.ceil(rows / each))))
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows node, marks of a sample. Out: the nodes whose sets are alike."""
     found = []
@@ -184,41 +198,48 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["node"])
 
 
-def _leaves(classes: DataFrame, first: int, runs: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """leaf, rid of the small leaves and of those of sets alike, of the trees first to runs - 1; the rids that went below DEPTH; the depth."""
+def _leaves(classes: DataFrame, count: int, first: int, runs: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame, int, int]:
+    """leaf, rid of the small leaves and of those of sets alike, of the trees first to runs - 1; the rids that went below DEPTH, and how many at most; the depth. count: of the classes, at most."""
     roots = F.array(*[F.xxhash64(F.lit(r), F.lit("root")) for r in range(first, runs)])
     nodes = classes.select("rid", "sketch", F.explode(roots).alias("parent")).select("rid", _children(F.col("parent"), F.col("sketch"), similarity).alias("node"))
     small, alike, deep, depth = [], [], [], 1
+    rows, below = count * (runs - first), 0
     while True:
-        nodes = cut(nodes)
+        nodes = cut(_in_few(nodes, max(rows, count * NARROW // WIDE)))  # it reads all sketches, however few go on
         sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         few = min(LEAF << (depth - 1), LARGEST)
-        level = nodes.join(sizes, "node")
-        drawn = level.where((F.col("size") > few) & (F.pmod(F.xxhash64("rid", "node"), F.col("size")) < SAMPLE)).join(classes.select("rid", "marks"), "rid").select("node", "marks")
-        ends = drawn.repartition("node").sortWithinPartitions("node").mapInArrow(_alike, "node bigint").withColumn("alike", F.lit(True))
-        level = cut(level.join(ends, "node", "left").select(F.col("node").alias("leaf"), "rid", F.when(F.col("size") <= few, 0).when(F.col("alike"), 1).otherwise(2).alias("kind")))
+        level = _in_few(nodes.join(sizes, "node"), rows)
+        drawn = level.where((F.col("size") > few) & (F.pmod(F.xxhash64("rid", "node"), F.col("size")) < SAMPLE))
+        drawn = _in_few(drawn.join(classes.select("rid", "marks"), "rid").select("node", "marks"), count, WIDE)
+        ends = _in_few(drawn.repartition("node"), count, WIDE).sortWithinPartitions("node").mapInArrow(_alike, "node bigint").withColumn("alike", F.lit(True))
+        level = level.join(ends, "node", "left").select(F.col("node").alias("leaf"), "rid", F.when(F.col("size") <= few, 0).when(F.col("alike"), 1).otherwise(2).alias("kind"))
+        level = cut(_in_few(level, rows))
         small.append(level.where("kind = 0").drop("kind"))
         alike.append(level.where("kind = 1").drop("kind"))
         again = level.where("kind = 2")
-        if again.isEmpty():
-            return _union(small), _union(alike), _union(deep or [again.select("rid")]), depth
+        left = again.count()
+        if not left:
+            return _union(small), _union(alike), _union(deep or [again.select("rid")]), below, depth
         if depth == DEPTH:
             deep.append(again.select("rid").distinct())
+            below = min(left, count)
         nodes = again.join(classes.select("rid", "sketch"), "rid").select("rid", _children(F.col("leaf"), F.col("sketch"), similarity).alias("node"))
-        depth += 1
+        rows, depth = left, depth + 1
 
 
-def _candidates(classes: DataFrame, similarity: float, recall: float) -> DataFrame:
-    """Links a, b between classes that seem similar, enough to connect what similar pairs connect."""
-    runs, depth, links, grown = 0, DEPTH, [], classes
+def _candidates(classes: DataFrame, count: int, similarity: float, recall: float) -> DataFrame:
+    """Links a, b between classes that seem similar, enough to connect what similar pairs connect. count: of the classes, at most."""
+    runs, depth, links, grown, left = 0, DEPTH, [], classes, count
     while runs < (need := runs_for(recall, similarity, depth)):
-        small, alike, deep, reached = _leaves(grown, runs, need, similarity)
+        had, rows = left, left * (need - runs)
+        small, alike, deep, left, reached = _leaves(grown, had, runs, need, similarity)
         runs, depth = need, max(depth, reached)
-        named = small.join(classes.select("rid", "marks"), "rid").select("leaf", "rid", "marks")
-        links.append(named.repartition("leaf").sortWithinPartitions("leaf", "rid").mapInArrow(lambda it: _leaf_links(it, similarity - SLACK), "a bigint, b bigint"))
-        links.append(alike.join(alike.groupBy("leaf").agg(F.min("rid").alias("b")), "leaf").select(F.col("rid").alias("a"), "b"))
-        grown = grown.join(deep, "rid", "left_semi")  # pairs that are together so deep are of these
-    return _union(links)
+        small, alike = _in_few(small, rows), _in_few(alike, rows)
+        named = _in_few(small.join(classes.select("rid", "marks"), "rid").select("leaf", "rid", "marks"), max(rows, count), WIDE)
+        links.append(_in_few(named.repartition("leaf"), rows, WIDE).sortWithinPartitions("leaf", "rid").mapInArrow(lambda it: _leaf_links(it, similarity - SLACK), "a bigint, b bigint"))
+        links.append(_in_few(alike.join(alike.groupBy("leaf").agg(F.min("rid").alias("b")), "leaf").select(F.col("rid").alias("a"), "b"), rows))
+        grown = _in_few(grown.join(deep, "rid", "left_semi"), had, WIDE)  # pairs that are together so deep are of these
+    return _in_few(_union(links), count * runs, WIDE)
 
 
 def _forest(pairs: Iterator[tuple[int, int]], n: int) -> list[int]:
@@ -268,38 +289,39 @@ def _leaf_links(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def contracted(links: DataFrame) -> DataFrame:
+def contracted(links: DataFrame, rows: int | None = None) -> DataFrame:
     """The same connections by fewer links: each id to its least smaller neighbour, and that neighbour to the others.
 
     An id has no more smaller neighbours than leaves or blocks it lies in; the links between
     these neighbours fall together, so that about one link an id is left.
     """
     down = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    near = down.groupBy("a").agg(F.collect_set("b").alias("n"), F.min("b").alias("least"))
+    near = _in_few(down.groupBy("a").agg(F.collect_set("b").alias("n"), F.min("b").alias("least")), rows)
     mine = F.array(F.struct("a", F.col("least").alias("b")))
     others = F.transform(F.filter("n", lambda x: x != F.col("least")), lambda x: F.struct(x.alias("a"), F.col("least").alias("b")))
-    return near.select(F.inline(F.concat(mine, others))).distinct()
+    return _in_few(near.select(F.inline(F.concat(mine, others))).distinct(), rows)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """rid and least (the least rid connected to it) of all ids in links (a, b).
 
     Links are contracted first, mostly to one link to its least for each id. Else labels go to
     the least among neighbours and then to their label's label, until none changes.
+    rows: about how many ids there are, if known.
     """
-    fewer = cut(contracted(contracted(links)))
-    if fewer.join(fewer.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
-        least = fewer.select("b").distinct()
+    fewer = cut(contracted(contracted(links, rows), rows))
+    if not _in_few(fewer.join(fewer.select(F.col("b").alias("a")), "a", "left_semi"), rows).count():
+        least = _in_few(fewer.select("b").distinct(), rows)
         return fewer.select(F.col("a").alias("rid"), F.col("b").alias("least")).unionByName(least.select(F.col("b").alias("rid"), F.col("b").alias("least")))
-    both = fewer.unionByName(fewer.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least")).withColumnRenamed("a", "rid"))
+    both = _in_few(fewer.unionByName(fewer.select(F.col("b").alias("a"), F.col("a").alias("b"))), rows)
+    labels = cut(_in_few(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least")).withColumnRenamed("a", "rid"), rows))
     while True:
-        near = both.join(labels.withColumnRenamed("rid", "b"), "b").groupBy("a").agg(F.min("least").alias("other"))
-        lower = labels.join(near, labels.rid == near.a, "left").select("rid", F.least("least", "other").alias("least"), F.col("least").alias("was"))
+        near = _in_few(both.join(labels.withColumnRenamed("rid", "b"), "b"), rows).groupBy("a").agg(F.min("least").alias("other"))
+        lower = _in_few(labels.join(near, labels.rid == near.a, "left"), rows).select("rid", F.least("least", "other").alias("least"), F.col("least").alias("was"))
         jump = lower.select(F.col("rid").alias("least"), F.col("least").alias("further"))
-        moved = cut(lower.join(jump, "least", "left").select("rid", F.least("least", "further").alias("least"), "was"))
+        moved = cut(_in_few(lower.join(jump, "least", "left").select("rid", F.least("least", "further").alias("least"), "was"), rows))
         labels = moved.select("rid", "least")
-        if moved.where("least <> was").isEmpty():
+        if not moved.where("least <> was").count():
             return labels
 
 
@@ -404,23 +426,23 @@ def _uncertain(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.Reco
         yield _found([r[1] for r in rows], [r[2] for r in rows], match)
 
 
-def _compared(placed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _compared(placed: DataFrame, texts: DataFrame, similarity: float, count: int | None = None) -> DataFrame:
     """rid, links (the other classes' rows that are similar), least (of what is connected to it): a row or more for each class of a group.
 
-    placed: rid, least (the group), copies, n, text_key, marks.
+    placed: rid, least (the group), copies, n, text_key, marks. count: of its rows, at most.
     """
     part = round(1000 * similarity)
     if abs(part - 1000 * similarity) > 1e-6:
         raise ValueError("the similarity must be in thousandths")
-    groups = placed.groupBy("least").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"))
+    groups = _in_few(placed.groupBy("least").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")), count)
     fits = (F.col("size") <= 2 * BLOCK) & (F.col("weight") <= WEIGHT)
-    sized = placed.join(groups, "least").join(texts, "text_key").select("rid", "copies", "least", "size", "weight", "marks", "text")
+    sized = _in_few(_in_few(placed.join(groups, "least"), count, WIDE).join(texts, "text_key"), count, WHOLE).select("rid", "copies", "least", "size", "weight", "marks", "text")
     kinds = "rid bigint, copies bigint, least bigint, size bigint, weight bigint, marks binary, shingles binary"
     sets = cut(sized.mapInArrow(_sets_of, kinds))
-    binned = sets.where(fits).select("least", "rid", "copies", "shingles").repartition("least").sortWithinPartitions("least", "rid")
+    binned = _in_few(sets.where(fits).select("least", "rid", "copies", "shingles").repartition("least"), count, WHOLE).sortWithinPartitions("least", "rid")
     found = [binned.mapInArrow(lambda it: _whole(it, similarity), "rid bigint, links bigint, least bigint")]
     large = sets.where(~fits)
-    if large.isEmpty():
+    if not large.count():
         return found[0]
 
     # the centre: of a few members, that which seems most similar to all members
@@ -458,7 +480,7 @@ def _compared(placed: DataFrame, texts: DataFrame, similarity: float) -> DataFra
     number = F.when(heavy, at).otherwise(-1 - at)  # those of light blocks are negative
     spread = known.join(sizes, "least").withColumn("block", of).select(F.explode(bins).alias("bin"), "rid", "copies", "limit", "u", number.alias("block"), "difference")
     tested = spread.repartition("bin").sortWithinPartitions("bin", "rid").mapInArrow(lambda it: _uncertain(it, part), "rid bigint, links bigint, least bigint")
-    return _union([*found, linked, tested])
+    return _in_few(_union([*found, linked, tested]), count, WHOLE)
 
 
 def _classes(docs: DataFrame, key: str, text: str, similarity: float, recall: float) -> tuple[DataFrame, DataFrame]:
@@ -471,14 +493,16 @@ def _classes(docs: DataFrame, key: str, text: str, similarity: float, recall: fl
     sets = cut(rows.mapInArrow(_sketched, f"id {kind}, text_key string, set_key string, n bigint, sketch binary, marks binary"))
     worded = sets.where("n > 0")
     classes = worded.groupBy("set_key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.min("text_key").alias("text_key"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("marks").alias("marks"))
-    classes = cut(classes.withColumn("rid", F.monotonically_increasing_id()))
-    groups = components(_candidates(classes, similarity, recall))
-    placed = groups.join(classes.select("rid", "copies", "n", "text_key", "marks"), "rid")
+    count = sets.count()
+    classes = cut(_in_few(classes, count, WIDE).withColumn("rid", F.monotonically_increasing_id()))
+    count = classes.count()
+    groups = components(_candidates(classes, count, similarity, recall), count)
+    placed = _in_few(groups.join(classes.select("rid", "copies", "n", "text_key", "marks"), "rid"), count, WIDE)
     texts = rows.select("text_key", "text").groupBy("text_key").agg(F.any_value("text").alias("text"))  # one of equal texts
-    found = cut(_compared(placed, texts, similarity))
+    found = cut(_compared(placed, texts, similarity, count))
     links = found.groupBy("rid").agg(F.sum("links").alias("links"))
-    joined = components(found.select(F.col("rid").alias("a"), F.col("least").alias("b")))
-    labelled = classes.select("rid", "set_key", "first", "copies").join(joined, "rid", "left").join(links, "rid", "left")
+    joined = components(found.select(F.col("rid").alias("a"), F.col("least").alias("b")), count)
+    labelled = _in_few(classes.select("rid", "set_key", "first", "copies").join(joined, "rid", "left").join(links, "rid", "left"), count, WIDE)
     labelled = labelled.select("set_key", "first", F.coalesce("least", "rid").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     names = labelled.groupBy("class").agg(F.min("first").alias("class_id"))
     per_set = labelled.join(names, "class").select("set_key", "class", "class_id", "n_links")

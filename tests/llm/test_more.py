@@ -88,6 +88,31 @@ def test_jaccard_join_of_a_hot_group(spark, monkeypatch):
         assert Counter((r.doc_id, r.class_id, r.n_links) for r in jaccard_join.similarity_join(docs).collect()) == want
 
 
+def test_jaccard_join_leaves_no_files_of_empty_tasks(spark):
+    """Over many shuffle partitions that Spark does not join by size, tasks follow the rows, not the levels of the trees."""
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(k, " ".join(f"x{k}" if j == at else w for j, w in enumerate(base))) for k, at in enumerate(rng.integers(0, 120, 600).tolist())]
+    rows += [(600 + k, " ".join(f"v{x}" for x in rng.integers(0, 3000, 40).tolist())) for k in range(600)]
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    were = {k: spark.conf.get(k) for k in held}
+    sc = spark.sparkContext
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("few tasks", "")
+        found = Counter(map(tuple, jaccard_join.similarity_join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in were.items():
+            spark.conf.set(k, v)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few tasks") for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i)
+    assert found == _brute(rows)
+    assert 0 < tasks < 3500, tasks
+
+
 def test_components_of_chains(spark):
     links = [(k, k + 1) for k in range(40)] + [(90, 60), (61, 90), (60, 60)]
     got = {r.rid: r.least for r in jaccard_join.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
